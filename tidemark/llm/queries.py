@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, mixing, records
 
-QUERIES = {"op1_benchmark_decontamination": decontaminate.op1}
+QUERIES = {"op1_benchmark_decontamination": decontaminate.op1, "op9_mixing_sources": mixing.op9, "op8_token_id_binary_output": records.op8}
 ORACLE_SQL = {"op1_benchmark_decontamination": decontaminate.OP1_SQL}
