@@ -7,8 +7,8 @@ A document of a source with rate r = target / words is taken floor(r) times, and
 The flight phase of the cube method moves these probabilities to 0 or 1 along the null space of two constraints, the
 number of documents and the number of words, so both totals keep their values. It runs in blocks of a source's
 documents at a time; each leaves two undecided documents at most, and these go to the next round's blocks until a
-source has one block. Its last two documents are the landing problem, decided at random with what probability is left.
-In a block the largest documents come first, so that the landing is about small ones.
+source has one block. There a dozen documents of halving sizes are kept out of the flight; with its last two they are
+the landing problem, decided by trying all ways for the one nearest to the expected words.
 
 Defined results: null texts have no words; a source without words has target 0 and takes nothing; rows that repeat
 are taken independently; random numbers depend on the rows of a block alone, so reruns agree.
@@ -26,6 +26,8 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, CAP = 1.5, 2.0
 #: Documents of a source that one flight decides.
 BLOCK = 4096
+#: Documents that a source's landing decides at most.
+LANDING = 14
 #: With more sources than this, their targets are worked out by Spark and not on the driver.
 DRIVER_SOURCES = 100_000
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -103,13 +105,25 @@ def flight(p: np.ndarray, x: list[int], rng: np.random.Generator) -> np.ndarray:
     return np.array(p)
 
 
-def land(p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Decides the last documents: systematic sampling, so their number is off by less than one."""
+def kept_back(p: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Up to LANDING - 2 undecided documents whose sizes fall by halves, from which almost any number of words can be made up."""
+    left = [int(k) for k in np.flatnonzero((p > 0) & (p < 1))]
+    out: list[int] = []
+    goal = max((x[k] for k in left), default=0) / 2
+    while left and len(out) < LANDING - 2:
+        best = min(left, key=lambda k: (abs(x[k] - goal), k))
+        left.remove(best)
+        out.append(best)
+        goal = max(goal / 2, 1)
+    return np.array(out, dtype=int)
+
+
+def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Decides the last documents, LANDING at most: of all ways the one that comes nearest to their expected words, then to their expected number."""
     left = np.flatnonzero((p > 0) & (p < 1))
-    if len(left):
-        edges = np.concatenate([[0.0], np.cumsum(p[left])])
-        start = rng.random()
-        p[left] = np.floor(edges[1:] + start) - np.floor(edges[:-1] + start)
+    ways = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    words, number = np.abs(ways @ x[left] - p[left] @ x[left]), np.abs(ways.sum(1) - p[left].sum())
+    p[left] = ways[np.lexsort((number, np.round(words, 6)))[0]]
     return p
 
 
@@ -119,9 +133,12 @@ def _decide(level: int, last: bool):
     def decide(key, block):
         columns = block.columns
         block = block.sort_values(["size", "key"], ascending=[False, True], kind="stable", ignore_index=True)
-        rng = np.random.default_rng([level, int(key[0]), int(key[1])])
-        p = flight(block["p"].to_numpy(), block["size"].tolist(), rng)
-        block["p"] = land(p, rng) if last else p
+        p, x = block["p"].to_numpy(copy=True), block["size"].to_numpy()
+        back = kept_back(p, x) if last else np.array([], dtype=int)
+        held, p[back] = p[back], 0.0
+        p = flight(p, x.tolist(), np.random.default_rng([level, int(key[0]), int(key[1])]))
+        p[back] = held
+        block["p"] = land(p, x) if last else p
         return block[[c for c in columns if c != "_block"]]
 
     return decide
