@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,3 +96,15 @@ def range_number(c: Column, cuts: list[int]) -> Column:
 def by_id_ranges(df: DataFrame, key: str, parts: int, cuts: list[int]) -> DataFrame:
     """Rows dealt to partition i when their key is in range i; adds that number as _part."""
     return df.withColumn("_part", range_number(F.col(key), cuts)).repartitionById(max(1, min(parts, len(cuts) + 1)), F.col("_part"))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """While actions run here, Python workers get so many rows at a time: long texts need memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -19,7 +19,9 @@ as they occur; further columns are not written.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -29,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_id_ranges, fresh_path, id_cuts, shuffle_width, table
+from .common import by_id_ranges, fresh_path, id_cuts, shuffle_width, small_batches, table
 
 END_ID = 2
 MASK = 0xA282EAD8
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
-#: Chunks of text whose ids a task keeps at most; beyond that it starts anew.
-CACHE_CHUNKS = 400_000
+#: Pieces of text whose ids a worker keeps at most: the first it meets, among them all common ones.
+KNOWN_PIECES = 200_000
+#: Rows that go to a worker at a time.
+ROWS = 500
 
 
 def masked_crc(data: bytes | memoryview) -> int:
@@ -71,46 +75,59 @@ def read_payload(payload: bytes | memoryview) -> tuple[int | None, np.ndarray]:
     return None if flags & 1 else doc_id, np.frombuffer(payload, "<u2" if flags & 2 else "<u4", offset=9)
 
 
-class ChunkEncoder:
-    """Encodes texts as the tokenizer does, chunk by chunk, keeping the ids of chunks it has met.
+def _plain_text() -> tuple[re.Pattern, re.Pattern]:
+    """Texts whose pieces this module cuts itself, and those pieces: ASCII and the Latin letters up to U+017E.
 
-    Chunks are what stands between blanks and line feeds. The tokenizers meant here drop white space and form no
-    token across it, so the ids of a text are those of its chunks in order (word_bpe_49k.json; tests compare them).
-    Texts that spell a special token are encoded whole.
+    There NFC changes nothing and every letter has a lower case of its own, so str.lower() is the tokenizer's.
+    """
+    chars = [chr(c) for c in (*range(33, 127), *range(0xA1, 0x17F)) if c not in (0xAD, 0x130, 0x149)]
+    kind = {k: re.escape("".join(c for c in chars if unicodedata.category(c)[0] == k)) for k in "LN"}
+    plain = re.compile(f"[\\t\\n\\r {re.escape(''.join(chars))}]*")
+    return plain, re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{kind['L']}]+|[{kind['N']}]|[^\\s{kind['L']}{kind['N']}]+")
+
+
+class PieceEncoder:
+    """Encodes texts as word_bpe_49k.json does (NFC, lower case, pieces by a pattern, byte-level BPE), keeping the ids of pieces it has met.
+
+    Plain texts are cut into pieces here and each new piece goes to the tokenizer's model. In other texts this holds for
+    each plain chunk between blanks and line feeds, across which no piece goes; other chunks go to the tokenizer whole,
+    and so do texts that spell a special token. Tests compare the ids with the tokenizer's.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if any(s in t for s in SPECIAL) else t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        new = list(set().union(*(c for c in split if c)).difference(known))
-        for chunk, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[chunk] = np.array(e.ids, self.kind).tobytes()
-        return [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() if c is None else b"".join(map(known.__getitem__, c))
-            for t, c in zip(texts, split, strict=True)
-        ]
-
-
-def _batched(texts: list[str | None], most: int = 4 << 20) -> Iterator[slice]:
-    """Slices of rows with about ``most`` characters of text."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= most:
-            yield slice(start, i + 1)
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+        self.plain, self.pieces = _plain_text()
+        whole = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.spelling = {b: b if b in whole else next(others) for b in range(256)}  # byte-level BPE's letters for bytes
+        # A worker process keeps what it has learned for its later tasks.
+        self.known: dict[str, bytes] = tokenizers.__dict__.setdefault("_tidemark_pieces", {}).setdefault(path, {})
+
+    def _learn(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.spelling)
+        ids = np.array([t.id for t in self.model.tokenize(spelled)], self.kind).tobytes()
+        if len(self.known) < KNOWN_PIECES:
+            self.known[piece] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _cut(self, text: str) -> bytes:
+        known, learn = self.known.get, self._learn
+        return b"".join([known(p) or learn(p) for p in self.pieces.findall(text.lower())])
+
+    def encode(self, text: str) -> bytes:
+        if any(s in text for s in SPECIAL):
+            return self._whole(text)
+        if self.plain.fullmatch(text):
+            return self._cut(text)
+        return b"".join([self._cut(c) if self.plain.fullmatch(c) else self._whole(c) for c in text.replace("\n", " ").split(" ")])
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shards: int | None = None) -> int:
@@ -120,19 +137,18 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
     cuts = id_cuts(docs, "doc_id", shards)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = PieceEncoder(tokenizer)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
             ids, texts = (batch.column(n).to_pylist() for n in ("doc_id", "text"))
-            for rows in _batched(texts):
-                coded = encoder.encode([t or "" for t in texts[rows]])
-                out = [frame(payload_of(i, c + end, encoder.width))[:-1] for i, c in zip(ids[rows], coded, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+            out = [frame(payload_of(i, encoder.encode(t or "") + end, encoder.width))[:-1] for i, t in zip(ids, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     dealt = by_id_ranges(docs, "doc_id", shards, cuts).sortWithinPartitions("_part", F.col("doc_id").asc_nulls_first(), "text")
     records = dealt.select("doc_id", "text").mapInArrow(encode, "record binary")
     # The cast keeps the bytes as they are; the writer adds the line feed.
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "none").text(path)
+    with small_batches(docs.sparkSession, ROWS):
+        records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "none").text(path)
     return len(cuts) + 1
 
 
