@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, linededup, mixing, records, toxicity
+from . import decontaminate, fingerprint, linededup, mixing, neardup, records, toxicity
 
-QUERIES = {"op1_benchmark_decontamination": decontaminate.op1, "op2_toxicity": toxicity.op2, "op3_line_dedup": linededup.op3, "op9_mixing_sources": mixing.op9, "op5_document_fingerprints": fingerprint.op5, "op8_token_id_binary_output": records.op8}
-ORACLE_SQL = {"op1_benchmark_decontamination": decontaminate.OP1_SQL, "op3_line_dedup": linededup.OP3_SQL}
+QUERIES = {
+    "op1_benchmark_decontamination": decontaminate.op1,
+    "op2_toxicity": toxicity.op2,
+    "op3_line_dedup": linededup.op3,
+    "op5_document_fingerprints": fingerprint.op5,
+    "op8_token_id_binary_output": records.op8,
+    "op9_mixing_sources": mixing.op9,
+    "op10_ngram_jaccard_join": neardup.op10,
+}
+ORACLE_SQL = {
+    "op1_benchmark_decontamination": decontaminate.OP1_SQL,
+    "op3_line_dedup": linededup.OP3_SQL,
+}
