@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, linededup, mixing, neardup, records, toxicity
+from . import decontaminate, fingerprint, licenses, linededup, mixing, neardup, records, toxicity, urlfilter
 
 QUERIES = {
     "op1_benchmark_decontamination": decontaminate.op1,
     "op2_toxicity": toxicity.op2,
     "op3_line_dedup": linededup.op3,
+    "op4_url_filters": urlfilter.op4,
     "op5_document_fingerprints": fingerprint.op5,
+    "op7_license_scans": licenses.op7,
     "op8_token_id_binary_output": records.op8,
     "op9_mixing_sources": mixing.op9,
     "op10_ngram_jaccard_join": neardup.op10,
