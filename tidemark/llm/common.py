@@ -69,6 +69,15 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(conf).delete(p, True)
 
 
+#: Rows that a side may have to be broadcast; a longer one is joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def narrow(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The side marked for broadcast if it is short, else as it is. Counting it should cost little: save it first."""
+    return F.broadcast(side) if side.count() <= most else side
+
+
 def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return df[name].cast(kind) if name in df.columns else F.lit(None).cast(kind)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, saved, small_batches, table, words_of
+from .common import narrow, saved, small_batches, table, words_of
 from .components import components
 from .fingerprint import WordHashes, shingle_hashes
 
@@ -33,8 +33,6 @@ THRESHOLD, SHINGLE = 0.8, 5
 TREES, DEPTH, TARGET = 20, 8, 0.995
 #: Nodes, and shingles, that a block of a cluster has on average at most.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
-#: Rows that a side may have to be broadcast; a longer one is joined by a shuffle.
-BROADCAST_ROWS = 200_000
 ROWS = 1000
 
 
@@ -103,11 +101,6 @@ def clusters(nodes: DataFrame, depth: int) -> DataFrame:
     return found.select(F.col("a").alias("node"), F.col("b").alias("cluster")).unionByName(least.select(F.col("b").alias("node"), F.col("b").alias("cluster")))
 
 
-def _narrow(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The side marked for broadcast if it is saved and short, else as it is."""
-    return F.broadcast(side) if side.count() <= most else side
-
-
 def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     """cluster, node, copies, shingles of each node, taken from one document of it."""
 
@@ -124,7 +117,7 @@ def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(sets, pa.list_(pa.int64()))], names=["cluster", "node", "copies", "shingles"])
 
     wanted = members.select("cluster", "node", "copies", F.col("rep").alias("key"))
-    found = docs.select("key", "text").join(_narrow(wanted), "key").select("cluster", "node", "copies", "text")
+    found = docs.select("key", "text").join(narrow(wanted), "key").select("cluster", "node", "copies", "text")
     sets = found.mapInArrow(spell, "cluster binary, node binary, copies long, shingles array<long>")
     return saved(sets, "shingle-sets")
 
@@ -193,7 +186,7 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     whole = sets.groupBy("cluster").agg(F.count("*").alias("nodes"), F.sum(F.size("shingles")).alias("total"))
     blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     whole = saved(whole.where("nodes > 1").select("cluster", blocks.alias("blocks")), "clusters")
-    sized = sets.join(_narrow(whole), "cluster")
+    sized = sets.join(narrow(whole), "cluster")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # A block meets itself and every other once: task (i, j) with i <= j.
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -283,7 +276,7 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     several = found.where("n_links > 0")
     first = several.groupBy("class_node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("first"))
     lost = saved(several.join(first, "class_node").where("key <> first").select(F.col("key").alias("_tm_key")).distinct(), "near-lost")
-    kept = keyed.join(_narrow(lost), "_tm_key", "left_anti")
+    kept = keyed.join(narrow(lost), "_tm_key", "left_anti")
     if not several.groupBy("key").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["_tm_key"])
     return kept.select(*[f"`{c}`" for c in docs.columns])
