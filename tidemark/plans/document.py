@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.encode import LAKE, Policy, values_of
+from ..functions.encode import LAKE, Policy, text_of, values_of
 
 DOC_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
@@ -94,8 +94,13 @@ def flattened(schema: T.StructType, prefix: str = "") -> list[tuple[str, str, T.
 
 
 def flatten(rows: DataFrame) -> DataFrame:
-    """Nested records as flat columns; of equal names the last that isn't null counts."""
-    found: dict[str, list[Column]] = {}
-    for name, path, _ in flattened(rows.schema):
-        found.setdefault(name, []).append(F.col(path))
-    return rows.select(*[F.coalesce(*reversed(cs)).alias(n) for n, cs in found.items()])
+    """Nested records as flat columns; of equal names the last that isn't null counts, as text if their types differ."""
+    found: dict[str, list[tuple[Column, T.DataType]]] = {}
+    for name, path, kind in flattened(rows.schema):
+        found.setdefault(name, []).append((F.col(path), kind))
+
+    def one(sources: list[tuple[Column, T.DataType]]) -> Column:
+        mixed = len({k.simpleString() for _, k in sources}) > 1
+        return F.coalesce(*[text_of(c, k) if mixed else c for c, k in reversed(sources)])
+
+    return rows.select(*[one(cs).alias(n) for n, cs in found.items()])
