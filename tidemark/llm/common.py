@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import fresh_path, remove, saved, shared_dir, table
+
+__all__ = ["fresh_path", "remove", "saved", "shared_dir", "table"]
+
 #: Java and Python pattern of one word, once A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -30,45 +34,6 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = getattr(spark.sparkContext, "_tidemark_dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            base = tempfile.mkdtemp(prefix="tidemark-")
-            atexit.register(shutil.rmtree, base, ignore_errors=True)
-            spark.sparkContext._tidemark_dir = base
-            base_uri = f"file://{base}"
-            spark.sparkContext.setCheckpointDir(base_uri)
-            spark.sparkContext._tidemark_dir = base = base_uri
-    return base.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """Writes the rows to the shared folder and reads them back: lineage ends there, and a lost executor costs no recomputation."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a path of the shared folder through Hadoop's file system."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(conf).delete(p, True)
-
-
 #: Rows that a side may have to be broadcast; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -107,13 +72,38 @@ def by_id_ranges(df: DataFrame, key: str, parts: int, cuts: list[int]) -> DataFr
     return df.withColumn("_part", range_number(F.col(key), cuts)).repartitionById(max(1, min(parts, len(cuts) + 1)), F.col("_part"))
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows with texts that a Python worker gets at a time. With Spark's 10,000 a batch of ordinary texts takes tens of MB, in the JVM and in Python.
+TEXT_ROWS, TEXT_BYTES = 500, 4 << 20
+
+
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> SparkSession:
+    """From now on this session's Python workers get so many rows, and TEXT_BYTES, at a time."""
+    spark.conf.set(BATCH, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BYTES)
+    return spark
+
+
+def tidy(walk: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``walk`` for mapInArrow, after which a worker gives memory back: the same process serves other tasks and stages later."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from walk(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int):
     """While actions run here, Python workers get so many rows at a time: long texts need memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, rows)
+    old = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, rows)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        spark.conf.set(BATCH, old)

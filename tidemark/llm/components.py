@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, fresh_path
+from .common import fresh_path, remove, saved
 
 
 def _downward(pairs: DataFrame) -> DataFrame:
@@ -21,8 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     """a, b: each node of edges(a, b) that is not its component's least, and that least node.
 
     A round links every node's larger neighbours to its least neighbour (large star), then all its smaller neighbours
-    (small star). No round gathers a node's neighbours: a hub of a third of all nodes is one minimum and one join whose
-    large side Spark may split. Rounds end when edges no longer change; their number grows with the logarithm of a
+    (small star). No round gathers a node's neighbours: a hub of a third of all nodes is one minimum and one join. The
+    minima are saved before they are joined, so that both sides of a join come straight from a shuffle and Spark can split
+    a hub's share among tasks. Rounds end when edges no longer change; their number grows with the logarithm of a
     component's size. Every round is written to the shared folder, which cuts the lineage.
     """
     spark, kind = edges.sparkSession, edges.schema
@@ -32,10 +33,10 @@ def components(edges: DataFrame) -> DataFrame:
     while (after := _state(now)) != state:
         state, old = after, path
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        least = saved(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "large-star")
         large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = _downward(large)
-        small = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        large = saved(_downward(large), "edges")
+        small = saved(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"), "small-star")
         linked = large.join(small, F.col("a") == F.col("u")).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         path = fresh_path(spark, "edges")
         _downward(linked.select("e.*")).write.parquet(path)

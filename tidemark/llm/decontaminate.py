@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import words_of
+from .common import table, text_batches, tidy, words_of
 
 WINDOW = 10
 #: Words of test items in one automaton; more items go to further automata, which a task loads one after another.
@@ -172,7 +172,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidy(scan), schema)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -231,13 +231,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                 columns[chars_at] = pa.array([n if c == t else len(c or "") for n, c, t in zip(old, cleaned, texts, strict=True)], columns[chars_at].type)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(keep))
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidy(scan), schema)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    from .common import table
-
-    found = find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = find_contamination(table(text_batches(spark), sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),

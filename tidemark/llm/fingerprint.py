@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_id_ranges, id_cuts, range_number, shuffle_width, table, words_of
+from .common import by_id_ranges, id_cuts, range_number, shuffle_width, table, text_batches, tidy, words_of
 
 K, SHINGLE = 128, 5
 #: Words whose hashes a worker keeps at most: the first it meets, among them all common ones.
@@ -146,7 +146,7 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
                 said = [str(Sketch.of(t.encode(), known, k)) for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(said)], names=["doc_id", "n_chars", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, n_chars long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(make), "doc_id long, n_chars long, fingerprint string")
 
 
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -206,8 +206,8 @@ def compare_with_next(docs: DataFrame, k: int = K) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
                     out = []
 
-    return with_next(docs).mapInArrow(make, schema)
+    return with_next(docs).mapInArrow(tidy(make), schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
-    return compare_with_next(table(spark, sf_dir, "documents"))
+    return compare_with_next(table(text_batches(spark), sf_dir, "documents"))

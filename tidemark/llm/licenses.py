@@ -55,6 +55,8 @@ TEMPLATES = [
 
 #: Rare words that are looked up for a file, and share of a template's weight that must agree in place.
 RARE, SHARE, SLACK = 12, 0.6, 2
+#: Words that more than about a third of all documents have say nothing: they are neither indexed nor looked up.
+LEAST_IDF = 1.0
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -111,8 +113,8 @@ def scan(docs: DataFrame, rare: int = RARE, share: float = SHARE) -> DataFrame:
     # A template's own rarest words weigh what a full match can reach; its common words are not indexed.
     postings, needed = [], []
     for number, (_, notice, _) in enumerate(TEMPLATES):
-        rarest = sorted(set(notice.split()), key=lambda w: (-idf[w], w))[:rare]
-        needed.append((number, sum(idf[w] for w in rarest)))
+        rarest = [w for w in sorted(set(notice.split()), key=lambda w: (-idf[w], w))[:rare] if idf[w] >= LEAST_IDF]
+        needed.append((number, float(sum(idf[w] for w in rarest))))
         postings += [(w, number, at) for at, w in enumerate(notice.split()) if w in rarest]
     index = F.broadcast(spark.createDataFrame(postings, "w string, template int, place int"))
     full = F.broadcast(spark.createDataFrame(needed, "template int, needed double"))
@@ -124,7 +126,7 @@ def scan(docs: DataFrame, rare: int = RARE, share: float = SHARE) -> DataFrame:
 
     distinct = F.array_distinct(F.transform("hits", lambda h: h["w"]))
     ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.element_at(weights, w)).alias("o"), w.alias("w"))))
-    rarest = F.transform(F.slice(ranked, 1, 4 * rare), lambda s: s["w"])
+    rarest = F.transform(F.slice(F.filter(ranked, lambda s: s["o"] <= -LEAST_IDF), 1, 2 * rare), lambda s: s["w"])
     looked = licensed.select("row", "hits", rarest.alias("rarest")).select("row", F.explode(F.filter("hits", lambda h: F.array_contains("rarest", h["w"]))).alias("h"))
     votes = looked.select("row", "h.w", "h.at").join(index, "w").select("row", "template", "w", (F.col("at") - F.col("place")).alias("start"))
     # A start's votes count for its neighbours too, so a word more or less does not part them; each word counts once.

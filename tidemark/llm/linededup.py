@@ -19,7 +19,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, id_cuts, lower_ascii, remove, shuffle_width, table
+from .common import fresh_path, id_cuts, lower_ascii, remove, saved, table
 
 BLANK = " \t\n\x0b\x0c\r"
 LEAST_CHARS, LEAST_DOCS = 40, 5
@@ -93,8 +93,16 @@ class LineRuns:
 
     @staticmethod
     def _merged(runs: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, runs)
-        return rows.groupBy(*KEYS).agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh"), F.max("owner").alias("owner"))
+        """Two runs at a time by a merge join: a union's buckets would not be known to fit together."""
+
+        def two(left: DataFrame, right: DataFrame) -> DataFrame:
+            other = right.select(*KEYS, F.col("n").alias("n_"), F.col("fresh").alias("fresh_"), F.col("owner").alias("owner_")).hint("merge")
+            zero = F.lit(0).cast("long")
+            n = F.coalesce("n", zero) + F.coalesce("n_", zero)
+            fresh = F.coalesce("fresh", F.lit(False)) | F.coalesce("fresh_", F.lit(False))
+            return left.join(other, KEYS, "full_outer").select(*KEYS, n.alias("n"), fresh.alias("fresh"), F.greatest("owner", "owner_").alias("owner"))
+
+        return reduce(two, runs)
 
     def counts(self) -> DataFrame:
         """h1, h2, n, owner of all lines so far."""
@@ -123,7 +131,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     store = LineRuns(docs.sparkSession)
     for batch in batches_of(docs, batches):
         store.add(batch, least_chars)
-    frequent = store.counts().where(F.col("n") >= least_docs).select(*KEYS, F.col("owner"))
+    # Saved, so that both sides of the join come straight from a shuffle and Spark can split a hot line's share among tasks.
+    frequent = saved(store.counts().where(F.col("n") >= least_docs).select(*KEYS, F.col("owner")), "frequent-lines")
     lost = (
         hashed_lines(docs, least_chars)
         .join(frequent, KEYS)

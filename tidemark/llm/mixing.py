@@ -8,7 +8,8 @@ The flight phase of the cube method moves these probabilities to 0 or 1 along th
 number of documents and the number of words, so both totals keep their values. It runs in blocks of a source's
 documents at a time; each leaves two undecided documents at most, and these go to the next round's blocks until a
 source has one block. There a dozen documents of halving sizes are kept out of the flight; with its last two they are
-the landing problem, decided by trying all ways for the one nearest to the expected words.
+the landing problem, decided by trying all ways for the one nearest to the expected words. Should the nearest still miss
+by more than MISS of the target, which takes a source of few and very unequal documents, further documents make up for it.
 
 Defined results: null texts have no words; a source without words has target 0 and takes nothing; rows that repeat
 are taken independently; random numbers depend on the rows of a block alone, so reruns agree.
@@ -28,6 +29,8 @@ SHARE, CAP = 1.5, 2.0
 BLOCK = 4096
 #: Documents that a source's landing decides at most.
 LANDING = 14
+#: Share of a source's target by which its landing may miss before that is mended.
+MISS = 0.002
 #: With more sources than this, their targets are worked out by Spark and not on the driver.
 DRIVER_SOURCES = 100_000
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -127,6 +130,18 @@ def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
     return p
 
 
+def mended(p: np.ndarray, x: np.ndarray, free: np.ndarray, error: float) -> np.ndarray:
+    """Where few large documents make up a source, the landing can miss by one of them: the largest others that fit make up for it.
+
+    ``error`` is what was taken too little; ``free`` marks the documents that this round decided.
+    """
+    for k in np.argsort(-x, kind="stable"):
+        if free[k] and 0 < x[k] <= abs(error) and p[k] == (0.0 if error > 0 else 1.0):
+            p[k] = 1.0 - p[k]
+            error -= x[k] if error > 0 else -x[k]
+    return p
+
+
 def _decide(level: int, last: bool):
     """What a round does with a block: the flight, and in the last round the landing."""
 
@@ -135,10 +150,16 @@ def _decide(level: int, last: bool):
         block = block.sort_values(["size", "key"], ascending=[False, True], kind="stable", ignore_index=True)
         p, x = block["p"].to_numpy(copy=True), block["size"].to_numpy()
         back = kept_back(p, x) if last else np.array([], dtype=int)
+        free, due = (p > 0) & (p < 1), float(p @ x)
         held, p[back] = p[back], 0.0
         p = flight(p, x.tolist(), np.random.default_rng([level, int(key[0]), int(key[1])]))
         p[back] = held
-        block["p"] = land(p, x) if last else p
+        if last:
+            p = land(p, x)
+            error = due - float(p @ x)
+            if len(p) and abs(error) > MISS * block["target"].iloc[0]:
+                p = mended(p, x, free, error)
+        block["p"] = p
         return block[[c for c in columns if c != "_block"]]
 
     return decide

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, saved, small_batches, table, words_of
+from .common import narrow, saved, small_batches, table, text_batches, tidy, words_of
 from .components import components
 from .fingerprint import WordHashes, shingle_hashes
 
@@ -33,7 +33,7 @@ THRESHOLD, SHINGLE = 0.8, 5
 TREES, DEPTH, TARGET = 20, 8, 0.995
 #: Nodes, and shingles, that a block of a cluster has on average at most.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
-ROWS = 1000
+ROWS = 500
 
 
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = TARGET) -> int:
@@ -87,7 +87,7 @@ def signatures(docs: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataF
                 names=["key", "doc_id", "node", "labels"],
             )
 
-    return docs.select("key", "doc_id", "text").mapInArrow(sign, "key string, doc_id long, node binary, labels array<long>")
+    return docs.select("key", "doc_id", "text").mapInArrow(tidy(sign), "key string, doc_id long, node binary, labels array<long>")
 
 
 def clusters(nodes: DataFrame, depth: int) -> DataFrame:
@@ -118,7 +118,7 @@ def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     wanted = members.select("cluster", "node", "copies", F.col("rep").alias("key"))
     found = docs.select("key", "text").join(narrow(wanted), "key").select("cluster", "node", "copies", "text")
-    sets = found.mapInArrow(spell, "cluster binary, node binary, copies long, shingles array<long>")
+    sets = found.mapInArrow(tidy(spell), "cluster binary, node binary, copies long, shingles array<long>")
     return saved(sets, "shingle-sets")
 
 
@@ -231,7 +231,7 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Equal (cluster, i, j) stand together in a partition and in order, so a task holds one pair of blocks at a time.
     grouped = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "own", "node")
     with small_batches(sets.sparkSession, ROWS):
-        return saved(grouped.mapInArrow(walk, "a binary, b binary, texts long, docs long"), "links")
+        return saved(grouped.mapInArrow(tidy(walk), "a binary, b binary, texts long, docs long"), "links")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, target: float = TARGET) -> DataFrame:
@@ -283,5 +283,5 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", "text")
+    docs = table(text_batches(spark), sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "n_links", "n_text_links")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_id_ranges, fresh_path, id_cuts, shuffle_width, small_batches, table
+from .common import by_id_ranges, fresh_path, id_cuts, shuffle_width, small_batches, table, tidy
 
 END_ID = 2
 MASK = 0xA282EAD8
@@ -145,7 +145,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     dealt = by_id_ranges(docs, "doc_id", shards, cuts).sortWithinPartitions("_part", F.col("doc_id").asc_nulls_first(), "text")
-    records = dealt.select("doc_id", "text").mapInArrow(encode, "record binary")
+    records = dealt.select("doc_id", "text").mapInArrow(tidy(encode), "record binary")
     # The cast keeps the bytes as they are; the writer adds the line feed.
     with small_batches(docs.sparkSession, ROWS):
         records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "none").text(path)
@@ -182,7 +182,7 @@ def read_records(spark, path: str, with_ids: bool = False) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     shard = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("int").alias("shard")
-    return files.select(shard, "content").mapInArrow(parse, kept)
+    return files.select(shard, "content").mapInArrow(tidy(parse), kept)
 
 
 def token_records(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = END_ID) -> DataFrame:

@@ -172,6 +172,6 @@ def scan(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("source", "path").select("doc_id", "text", "path")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("path"))
     found = scan(docs, labelled_findings(spark))
     return found.select("doc_id", "word", "name", F.length("value").cast("long").alias("n_chars"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "score", "is_secret")

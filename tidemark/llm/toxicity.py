@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, table, text_batches, tidy
 
 #: Labelled documents that training uses at most.
 TRAIN_ROWS = 20_000
@@ -39,7 +39,7 @@ FOLDS = 5
 BEGINNINGS = (4, 5, 6)
 LEAST_PRECISION = 0.8
 ROWS = 500
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 200_000
 
 # The letters that a sign may stand for.
 LEET = {
@@ -184,7 +184,7 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def char_model(docs: DataFrame) -> CharModel:
     """Counts over all documents. LETTERS bounds what can be counted: 165 letters, and in practice some ten thousand trigrams."""
-    sums = docs.select("text").mapInArrow(_count_trigrams, "t string, n long").groupBy("t").agg(F.sum("n"))
+    sums = docs.select("text").mapInArrow(tidy(_count_trigrams), "t string, n long").groupBy("t").agg(F.sum("n"))
     return CharModel({t: n for t, n in sums.collect()})
 
 
@@ -250,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicMo
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "toxic", "found"])
 
     picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
-    spelled = saved(picked.mapInArrow(spell, "doc_id long, toxic int, found array<string>"), "toxic-features")
+    spelled = saved(picked.mapInArrow(tidy(spell), "doc_id long, toxic int, found array<string>"), "toxic-features")
     n, bad = spelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not bad:
         return ToxicModel(chars, {}, 0.0)
@@ -305,7 +305,7 @@ def scored(docs: DataFrame, model: ToxicModel, column: str = "score") -> DataFra
 
     from pyspark.sql import types as T
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    return docs.mapInArrow(tidy(score), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
@@ -314,7 +314,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> Data
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(text_batches(spark), sf_dir, "documents").select("doc_id", "text")
     out = scored(docs, train(docs, table(spark, sf_dir, "labels")))
     held = F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
