@@ -9,21 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, mixing, neardup, records, toxicity
-from tidemark.llm.common import saved, table
+from tidemark.llm.common import saved, table, text_batches
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
+    text_batches(spark)
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
+    text_batches(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of benchmark items go; documents that are hardly anything else go whole."""
+    text_batches(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
