@@ -51,39 +51,46 @@ def test_many_blocks_give_what_one_gives(spark, fixture, monkeypatch):
 
 
 def test_frames_round_trip():
-    payloads = [b"", b"\n", b"\n\n\r\0" * 5, bytes(range(256)) * 40]
+    payloads = [b"", b"\n", b"\n\n\r\0" * 5, bytes(range(256)) * 40, b"\x1b\n\x1b\x01\x1b\x02"]
     data = b"".join(map(records.frame, payloads))
-    assert [bytes(p) for _, p in records.frames(data)] == payloads
+    assert [p for _, p in records.frames(data)] == payloads == [records.unframe(r) for r in data.split(b"\n")[:-1]]
     offsets = [o for o, _ in records.frames(data)]
-    assert [bytes(next(records.frames(data, o))[1]) for o in reversed(offsets)] == payloads[::-1]
-    for i in (3, 9, len(data) // 2, len(data) - 1):
+    assert [next(records.frames(data, o))[1] for o in reversed(offsets)] == payloads[::-1]
+    for i in (3, 9, 20, len(data) // 2, len(data) - 3):
         damaged = bytearray(data)
         damaged[i] ^= 1
         with pytest.raises(ValueError, match="damaged"):
             list(records.frames(bytes(damaged)))
-    with pytest.raises(ValueError):
-        list(records.frames(data[:-3]))
+    for cut in (1, 3, 30):
+        with pytest.raises(ValueError):
+            list(records.frames(data[:-cut]))
 
 
 @pytest.mark.parametrize("doc_id", [0, -5, 2**62, None])
 @pytest.mark.parametrize("width", [2, 4])
 def test_payload_round_trip(doc_id, width):
     ids = np.array([1, 2, 49407], f"<u{width}")
-    got_id, got_ids = records.read_payload(records.payload_of(doc_id, ids.tobytes(), width))
-    assert got_id == doc_id and got_ids.tolist() == ids.tolist()
+    got = records.read_payload(records.payload_of(doc_id, ids.tobytes(), width, 7, 2**40))
+    assert got[0] == doc_id and got[1].tolist() == ids.tolist() and got[2:] == (7, 2**40)
 
 
 def test_shuffled_read_by_offset(spark, fixture, tmp_path):
     docs = spark.read.parquet(f"{fixture[0]}/documents.parquet")
-    index = records.token_records(docs, records.default_tokenizer(), f"file://{tmp_path}").collect()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # files are read in many parts
+    try:
+        index = records.token_records(docs, records.default_tokenizer(), f"file://{tmp_path}").collect()
+        texts = records.read_records(spark, f"file://{tmp_path}/data", with_ids=True)
+        assert texts.rdd.getNumPartitions() > 8 and texts.where("size(ids) <> n_tokens").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     files = {int(p.name.split("-")[1]): p.read_bytes() for p in (tmp_path / "data").glob("part-*")}
     random.Random(1).shuffle(index)
     for r in index:
-        _, payload = next(records.frames(files[r["shard"]][r["offset"] : r["offset"] + r["length"]]))
-        doc_id, ids = records.read_payload(payload)
-        assert doc_id == r["doc_id"] and len(ids) == r["n_tokens"] and ids[-1] == records.END_ID
-    texts = records.read_records(spark, f"file://{tmp_path}/data", with_ids=True)
-    assert texts.where("size(ids) <> n_tokens").count() == 0
+        record = files[r["shard"]][r["offset"] : r["offset"] + r["length"]]
+        doc_id, ids, _, offset = records.read_payload(records.unframe(record))
+        assert doc_id == r["doc_id"] and offset == r["offset"] and len(ids) == r["n_tokens"] and ids[-1] == records.END_ID
+    assert sum(r["length"] for r in index) == sum(map(len, files.values())) == sum(len(b"".join(records.frame(p) for _, p in records.frames(f))) for f in files.values())
 
 
 def test_pieces_are_the_tokenizers():

@@ -2,16 +2,18 @@
 
 One record frames one sequence::
 
-    uint64 length of the payload | uint32 masked crc of those 8 bytes | payload | uint32 masked crc of the payload | 0x0A
+    length of the body, 16 hex digits | masked crc of these digits, 8 hex digits | body | masked crc of the body, 8 hex digits | 0x0A
 
-All numbers are little-endian. A masked crc is ((crc >> 15 | crc << 17) + 0xA282EAD8) mod 2**32 of the unsigned
-crc32. The payload is: int64 id | uint8 flags (1: the id is null; 2: ids take 2 bytes, else 4) | the token ids. The
-line feed ends a frame because Spark's text writer, which commits files atomically on any file system, must end
-each row; readers check it.
+A masked crc is ((crc >> 15 | crc << 17) + 0xA282EAD8) mod 2**32 of the unsigned crc32. The body is the payload with
+0x1B written as 0x1B 0x01 and 0x0A as 0x1B 0x02, so a line feed ends a record and stands nowhere else: files can be read
+by length, by offset, or in parts of any size by whatever splits text at line feeds, as Spark does. The payload is, in
+little-endian numbers: int64 id | uint8 flags (1: the id is null; 2: ids take 2 bytes, else 4) | uint64 ids before it in
+its shard | uint64 byte offset of the record in its shard | the token ids.
 
 Records stand in ascending id order through shards (null ids first, then equal ids by text). Shard i is the file whose
 name begins with ``part-`` and the number i; the index has a row for each record: shard, id, byte offset, byte length.
-A shuffled read takes index rows in any order and fetches ``length`` bytes at ``offset``.
+A shuffled read takes index rows in any order and fetches ``length`` bytes at ``offset``. Spark's text writer commits
+whole files on any file system, so a lost executor leaves no half of one.
 
 Defined results: null texts count as empty; an empty text has the end id only; rows that repeat are written as often
 as they occur; further columns are not written.
@@ -42,37 +44,52 @@ KNOWN_PIECES = 200_000
 ROWS = 500
 
 
-def masked_crc(data: bytes | memoryview) -> int:
+def masked_crc(data: bytes) -> int:
     crc = zlib.crc32(data)
     return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
 
 
 def frame(payload: bytes) -> bytes:
-    head = struct.pack("<Q", len(payload))
-    return b"".join((head, struct.pack("<I", masked_crc(head)), payload, struct.pack("<I", masked_crc(payload)), b"\n"))
+    """A record, with its line feed."""
+    body = payload.replace(b"\x1b", b"\x1b\x01").replace(b"\n", b"\x1b\x02")
+    head = b"%016x" % len(body)
+    return b"%b%08x%b%08x\n" % (head, masked_crc(head), body, masked_crc(body))
 
 
-def frames(data: bytes | memoryview, at: int = 0) -> Iterator[tuple[int, bytes | memoryview]]:
-    """(offset, payload) of each record; raises ValueError at the first that is cut off or damaged."""
+def unframe(record: bytes) -> bytes:
+    """The payload of one record, without or with its line feed; raises ValueError if it is cut off or damaged."""
+    head, body = record[:16], record[24:].removesuffix(b"\n")[:-8]
+    if record[16:24] != b"%08x" % masked_crc(head):
+        raise ValueError("damaged length")
+    if len(body) != int(head, 16) or record[24 + len(body) :][:8] != b"%08x" % masked_crc(body):
+        raise ValueError("damaged body")
+    return body.replace(b"\x1b\x02", b"\n").replace(b"\x1b\x01", b"\x1b")
+
+
+def frames(data: bytes, at: int = 0) -> Iterator[tuple[int, bytes]]:
+    """(offset, payload) of each record, going by lengths."""
     while at < len(data):
-        head = data[at : at + 8]
-        if len(data) - at < 12 or struct.unpack_from("<I", data, at + 8)[0] != masked_crc(head):
+        head = data[at : at + 24]
+        if len(head) < 24 or head[16:] != b"%08x" % masked_crc(head[:16]):
             raise ValueError(f"damaged length at byte {at}")
-        n = struct.unpack("<Q", head)[0]
-        payload, end = data[at + 12 : at + 12 + n], at + 12 + n
-        if len(payload) < n or data[end + 4 : end + 5] != b"\n" or struct.unpack_from("<I", data, end)[0] != masked_crc(payload):
-            raise ValueError(f"damaged payload at byte {at}")
-        yield at, payload
-        at = end + 5
+        end = at + 24 + int(head[:16], 16) + 9
+        if data[end - 1 : end] != b"\n":
+            raise ValueError(f"damaged end at byte {end}")
+        yield at, unframe(data[at:end])
+        at = end
+
 
+_HEAD, _HEAD_BYTES = "<qBQQ", 25
 
-def payload_of(doc_id: int | None, ids: bytes, width: int) -> bytes:
-    return struct.pack("<qB", doc_id or 0, (doc_id is None) | (width == 2) << 1) + ids
 
+def payload_of(doc_id: int | None, ids: bytes, width: int, before: int = 0, offset: int = 0) -> bytes:
+    return struct.pack(_HEAD, doc_id or 0, (doc_id is None) | (width == 2) << 1, before, offset) + ids
 
-def read_payload(payload: bytes | memoryview) -> tuple[int | None, np.ndarray]:
-    doc_id, flags = struct.unpack_from("<qB", payload)
-    return None if flags & 1 else doc_id, np.frombuffer(payload, "<u2" if flags & 2 else "<u4", offset=9)
+
+def read_payload(payload: bytes) -> tuple[int | None, np.ndarray, int, int]:
+    """id, token ids, ids before it, offset."""
+    doc_id, flags, before, offset = struct.unpack_from(_HEAD, payload)
+    return None if flags & 1 else doc_id, np.frombuffer(payload, "<u2" if flags & 2 else "<u4", offset=_HEAD_BYTES), before, offset
 
 
 def _plain_text() -> tuple[re.Pattern, re.Pattern]:
@@ -139,9 +156,14 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer)
         end = np.array([end_id], encoder.kind).tobytes()
+        before = offset = 0  # a partition is a shard
         for batch in batches:
-            ids, texts = (batch.column(n).to_pylist() for n in ("doc_id", "text"))
-            out = [frame(payload_of(i, encoder.encode(t or "") + end, encoder.width))[:-1] for i, t in zip(ids, texts, strict=True)]
+            out = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids = encoder.encode(text or "") + end
+                record = frame(payload_of(doc_id, ids, encoder.width, before, offset))
+                before, offset = before + len(ids) // encoder.width, offset + len(record)
+                out.append(record[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     dealt = by_id_ranges(docs, "doc_id", shards, cuts).sortWithinPartitions("_part", F.col("doc_id").asc_nulls_first(), "text")
@@ -157,32 +179,28 @@ INDEX = "shard int, doc_id long, before long, offset long, length long, n_tokens
 
 def read_records(spark, path: str, with_ids: bool = False) -> DataFrame:
     """A row for each record: shard, doc_id, ids before it in the shard, byte offset and length, n_tokens, ids_crc32
-    (of the ids as uint32), and the ids if asked for; checks all checksums."""
+    (of the ids as uint32), and the ids if asked for; checks all checksums, and that records follow one another."""
     kept = INDEX + ", ids array<int>" * with_ids
     names = [x.split()[0] for x in kept.split(", ")]
     kinds = [pa.int32(), *[pa.int64()] * 6, *[pa.list_(pa.int32())] * with_ids]
 
-    def made(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = ()
         for batch in batches:
-            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
-                rows: list[tuple] = []
-                before = 0
-                for offset, payload in frames(memoryview(data.as_buffer())):
-                    doc_id, ids = read_payload(payload)
-                    rows.append((shard, doc_id, before, offset, len(payload) + 17, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), *([ids.tolist()] if with_ids else [])))
-                    before += len(ids)
-                    if len(rows) == 4096:
-                        yield made(rows)
-                        rows = []
-                if rows:
-                    yield made(rows)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    shard = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("int").alias("shard")
-    return files.select(shard, "content").mapInArrow(tidy(parse), kept)
+            rows = []
+            for shard, block, record in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                doc_id, ids, before, offset = read_payload(unframe(record))
+                if last[:2] == (shard, block) and last[2] != offset:
+                    raise ValueError(f"shard {shard} lacks bytes {last[2]} to {offset}")
+                length = len(record) + 1
+                last = shard, block, offset + length
+                rows.append((shard, doc_id, before, offset, length, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), *([ids.tolist()] if with_ids else [])))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "part-*").text(path)
+    shard = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("shard")
+    return lines.select(shard, F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("record")).mapInArrow(tidy(parse), kept)
 
 
 def token_records(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -191,7 +209,8 @@ def token_records(docs: DataFrame, tokenizer: str, path: str | None = None, end_
     spark = docs.sparkSession
     path = path or fresh_path(spark, "records")
     write_records(docs, f"{path}/data", tokenizer, end_id)
-    read_records(spark, f"{path}/data").write.parquet(f"{path}/index")
+    with small_batches(spark, ROWS):
+        read_records(spark, f"{path}/data").write.parquet(f"{path}/index")
     index = spark.read.schema(INDEX).parquet(f"{path}/index")
     # The driver gets a sum for each shard, and sends back as many numbers.
     starts, before = [], 0
