@@ -62,11 +62,22 @@ def test_held_out_labels_are_not_used(spark):
     assert a.known == b.known and a.base == b.base
 
 
-def test_copies_teach_nothing_of_their_own():
-    """A hundred copies of one toxic document: only the word that explains others too is learned."""
-    pairs = [(d, f) for d in range(100) for f in ("idiot$", "odd$", "strange$")] + [(200 + d, "idiot$") for d in range(30)]
-    chosen = T.cover(pairs, {"idiot$": (130, 130), "odd$": (100, 100), "strange$": (100, 100)}, 0.1)
-    assert set(chosen) == {"idiot$"}
+def test_covering():
+    pairs = [(d, f) for d in range(100) for f in ("idiot$", "odd$")] + [(200 + d, "idiot$") for d in range(30)] + [(1, "rare$"), (300, "rare$")]
+    chosen = T.cover(pairs, {"idiot$": (130, 130), "odd$": (100, 100), "rare$": (2, 2)}, 0.1)
+    assert set(chosen) == {"idiot$", "rare$"} and T.evidence(1000, 0.1) == 5
+
+
+def test_copies_teach_nothing_of_their_own(spark):
+    """Hundreds of copies of one toxic document: of its words only the one that other documents have too is learned."""
+    rng = random.Random(3)
+    docs, labels = corpus(rng, 600)
+    copy = " ".join("".join(rng.choices(["ka", "lo", "mu", "pi"], k=4)) for _ in range(40)) + " idiot end"
+    docs += [(1000 + i, copy) for i in range(300)]
+    labels += [(1000 + i, 1, 1) for i in range(300)]
+    frame, said = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = T.train(frame, said)
+    assert "idiot$" in model.known and not any(f.rstrip("$") in copy for f in model.known if f != "idiot$")
 
 
 def test_reject(spark, fixture):

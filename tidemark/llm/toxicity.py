@@ -3,8 +3,10 @@
 A character language model, trigrams of all words of the corpus, restores disguised words: what a writer did to a word
 (letters replaced by digits and signs, letters drawn apart, letters repeated) spans a lattice of possible letters, and
 Viterbi's algorithm finds the likeliest word in it. Toxic words and word beginnings are learned from labelled
-documents, after the same restoration, by sequential covering: the feature that explains most of the toxic documents
-still unexplained comes first, so words that merely stand in copies of a toxic document find nothing left to explain.
+documents, after the same restoration. What counts as evidence is not documents but different contexts, the words that a
+feature was first seen after: words that merely stand in copies of a toxic document have few of them. Features of strong
+evidence are all taken, and then, by sequential covering, of those that are toxic beyond chance the ones that explain
+most of the toxic documents still unexplained.
 A text's score is the noisy-or of the features in it, or the rate of toxic documents among those without any.
 
 Labels are learned only from documents whose crc32(doc_id) mod 5 is not 0, and from TRAIN_ROWS of those at most, drawn
@@ -32,12 +34,14 @@ from .common import saved, table, text_batches, tidy
 
 #: Labelled documents that training uses at most.
 TRAIN_ROWS = 20_000
-#: Features that reach the driver at most, those that stand in most toxic documents.
+#: Features that reach the driver at most, those with most contexts.
 CANDIDATES = 20_000
 FOLDS = 5
 #: Lengths of word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
 LEAST_PRECISION = 0.8
+#: Strong evidence: so many times the contexts that chance would not give, and this share of a feature's toxic documents.
+STRONG, STRONG_SHARE = 3, 0.1
 ROWS = 500
 KNOWN_CHUNKS = 200_000
 
@@ -154,12 +158,23 @@ def drawn_apart(chunks: list[str]) -> Iterator[str]:
                     yield part
 
 
-def text_words(text: str, model: CharModel) -> set[str]:
+def seen_features(text: str, model: CharModel) -> dict[str, str]:
+    """Features of a text, each with the chunk that its first occurrence follows."""
+    out: dict[str, str] = {}
+    before, met = "", set()
     chunks = text.lower().split()
-    words = set().union(*(words_in(c, model) for c in set(chunks)))
+    for chunk in chunks:
+        if chunk not in met:
+            met.add(chunk)
+            for w in words_in(chunk, model):
+                for f in features(w):
+                    out.setdefault(f, before)
+        before = chunk
     for run in drawn_apart(chunks):
-        words.update(model.decode(lattice(run, apart=True)).split())
-    return words
+        for w in model.decode(lattice(run, apart=True)).split():
+            for f in features(w):
+                out.setdefault(f, run)
+    return out
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,46 +261,65 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicMo
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = cloudpickle.loads(sent.value)
         for batch in batches:
-            found = [sorted({f for w in text_words(t or "", model) for f in features(w)}) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "toxic", "found"])
+            found = [list(seen_features(t or "", model).items()) for t in batch.column("text").to_pylist()]
+            kind = pa.list_(pa.struct([("f", pa.string()), ("after", pa.string())]))
+            made = pa.array([[{"f": f, "after": c} for f, c in fs] for fs in found], kind)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), made], names=["doc_id", "toxic", "found"])
 
     picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
-    spelled = saved(picked.mapInArrow(tidy(spell), "doc_id long, toxic int, found array<string>"), "toxic-features")
+    spelled = saved(picked.mapInArrow(tidy(spell), "doc_id long, toxic int, found array<struct<f:string,after:string>>"), "toxic-features")
     n, bad = spelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not bad:
         return ToxicModel(chars, {}, 0.0)
-    each = spelled.select("doc_id", "toxic", F.explode("found").alias("f"))
-    sums = each.groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).where(F.col("bad") >= 2)
-    sums = sums.where(F.col("bad") >= LEAST_PRECISION * F.col("n")).orderBy(F.desc("bad"), "f").limit(CANDIDATES).collect()
+    each = spelled.select("doc_id", "toxic", F.explode("found").alias("s")).select("doc_id", "toxic", "s.f", "s.after")
+    contexts = F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("after")))
+    sums = saved(each.groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"), contexts.alias("contexts")).where("bad >= 2"), "toxic-sums")
+    need = evidence(sums.count(), bad / n)
+    sums = sums.where((F.col("contexts") >= need) & (F.col("bad") >= LEAST_PRECISION * F.col("n"))).orderBy(F.desc("contexts"), "f").limit(CANDIDATES).collect()
     wanted = docs.sparkSession.createDataFrame([(r["f"],) for r in sums], "f string")
     # Toxic documents of the bounded sample only, each with its candidate features.
     pairs = each.where("toxic = 1").join(F.broadcast(wanted), "f").select("doc_id", "f").collect()
-    chosen = cover(pairs, {r["f"]: (r["n"], r["bad"]) for r in sums}, bad / n)
+    stats = {r["f"]: (r["n"], r["bad"]) for r in sums}
+    strong = [r["f"] for r in sums if r["contexts"] >= max(STRONG * need, STRONG_SHARE * r["bad"])]
+    chosen = cover(pairs, stats, bad / n, general(strong, stats))
     explained = len({d for d, f in pairs if f in chosen})
-    touched = n - spelled.where(~F.arrays_overlap("found", F.array(*map(F.lit, chosen)))).count() if chosen else 0
+    touched = n - spelled.where(~F.arrays_overlap("found.f", F.array(*map(F.lit, chosen)))).count() if chosen else 0
     return ToxicModel(chars, chosen, (bad - explained + 0.5 * bad / n) / (n - touched + 1))
 
 
-def cover(pairs: list, stats: dict[str, tuple[int, int]], rate: float) -> dict[str, float]:
-    """Sequential covering. A feature is taken if it explains so many toxic documents anew that chance, over all candidates, would not."""
+def evidence(candidates: int, rate: float) -> int:
+    """Contexts, all of them toxic, that chance would not give any of so many candidates, at the rate of toxic documents."""
+    return max(2, math.ceil(math.log(max(candidates, 2) * 20) / math.log(1 / min(max(rate, 1e-6), 0.5))))
+
+
+def general(strong: list[str], stats: dict[str, tuple[int, int]]) -> list[str]:
+    """Of features that stand for one another the best: the longest of those with about the same documents, else the shortest."""
+    taken: list[str] = []
+    for f in sorted(strong, key=lambda x: (-stats[x][0], -len(x), x)):
+        same = any(g != f and g.startswith(f) and stats[g][0] >= 0.9 * stats[f][0] for g in strong)
+        if not same and not any(f.startswith(g) for g in taken):
+            taken.append(f)
+    return taken
+
+
+def cover(pairs: list, stats: dict[str, tuple[int, int]], rate: float, first: Iterable[str] = ()) -> dict[str, float]:
+    """The features in ``first``, then by sequential covering features that each explain toxic documents that those before don't."""
     left: dict[str, set] = defaultdict(set)
     having: dict[int, list[str]] = defaultdict(list)
     for doc, f in pairs:
         left[f].add(doc)
         having[doc].append(f)
-    need = max(2, math.ceil(math.log(max(len(stats), 2) * 20) / math.log(1 / max(rate, 1e-6))))
     chosen: dict[str, float] = {}
-    while left:
-        # Of features that explain as much, the one with the fewest other documents, then the longest.
-        f = max(left, key=lambda x: (len(left[x]) - (stats[x][0] - stats[x][1]), len(x), x))
-        if len(left[f]) < need:
-            break
+    ahead = list(first)[::-1]
+    while ahead or left:
+        # Other documents count against a feature; of equal ones the longest is taken, which says least about other words.
+        f = ahead.pop() if ahead else max(left, key=lambda x: (len(left[x]) - (stats[x][0] - stats[x][1]), len(x), x))
         n, bad = stats[f]
         chosen[f] = (bad + rate) / (n + 1)
-        for doc in list(left[f]):
+        for doc in list(left.get(f, ())):
             for other in having[doc]:
                 left[other].discard(doc)
-        left = {k: v for k, v in left.items() if v}
+        left = defaultdict(set, {k: v for k, v in left.items() if v})
     return chosen
 
 
