@@ -80,6 +80,39 @@ def test_versions(spark, catalog):
         index.delete([])
 
 
+def test_deltas_are_merged(spark, catalog, monkeypatch):
+    """Whatever the deltas and merges, documents are those of a plain replay."""
+    import random
+
+    from tidemark.sources import index as I
+
+    monkeypatch.setattr(I, "MERGE_DELTAS", 4)
+    rng, state, index = random.Random(1), {}, catalog.open("docs")
+    for step in range(9):
+        ops = {f"k{rng.randrange(12)}": rng.choice(["ADD", "ADD", "DELETE"]) for _ in range(4)}
+        rows = [(op, k, {"title": [f"{k} {step}"]}, step, 0) for k, op in ops.items()]
+        index.apply(spark.createDataFrame(rows, "op string, _id string, doc map<string,array<string>>, _snapshot_id long, _seq long"), batch=step)
+        for k, op in ops.items():
+            state.pop(k, None) if op == "DELETE" else state.update({k: f"{k} {step}"})
+        assert {r["_id"]: r["doc"]["title"][0] for r in index.documents().collect()} == state
+        assert len(index._pointer(index.version)["deltas"]) < 4
+    index.expire()
+    assert index.documents().count() == len(state)
+
+
+def test_appends_between_merges(spark, tmp_path):
+    catalog = IndexCatalog(spark, f"file://{tmp_path}/indexes")
+    catalog.create("a")
+    catalog.register("a", [Field("id", "ATOM")])
+    index = catalog.start("a")
+    docs = spark.createDataFrame([("x", {"id": ["1"]}), ("y", {"id": ["1"]})], "_id string, doc map<string,array<string>>")
+    index.append(docs, 0)
+    index.append(docs, 1)
+    index.delete(["x"])
+    index.append(docs.where("_id = 'x'"), 2)
+    assert sorted(r["_id"] for r in index.documents().collect()) == ["x", "y", "y"]
+
+
 def test_lifecycle(spark, tmp_path):
     catalog = IndexCatalog(spark, f"file://{tmp_path}/indexes")
     with pytest.raises(MissingIndex, match="does not exist"):

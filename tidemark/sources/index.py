@@ -1,24 +1,29 @@
 """Indexes: document tables with declared fields, kept as versions on any file system that Hadoop reaches.
 
-A write makes a new version folder and then publishes it by one atomic rename of a small pointer file; readers follow
-the newest pointer, so they see a version whole or not at all. A pointer carries the id of the batch that made it, and a
-batch that was published is not applied again.
+A version is a base and the deltas since: each write adds one delta, as large as the batch and not as the index, and
+readers fold the deltas over the base. Deltas are merged into a new base when they have grown to MERGE_SHARE of it or to
+MERGE_DELTAS, so a document is rewritten some few times in all. A version is published by one atomic rename of a small
+pointer file; readers follow the newest pointer, so they see a version whole or not at all. A pointer carries the ids of
+the batches that made it, and a batch that was published is not applied again.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changelog import ADD, fold, upsert, without_ids
+from ..operators.changelog import ADD, DELETE, appended, fold, upsert
 from ..plans.document import DOC_TYPE
 
 TYPES = ("_ID", "ATOM", "TEXT", "DOUBLE")
+MERGE_SHARE, MERGE_DELTAS = 0.5, 16
+DOCS = "_id string, doc map<string,array<string>>"
 
 
 class MissingIndex(RuntimeError):
@@ -140,29 +145,63 @@ class IndexTable:
         return max((int(m[1]) for m in found if m), default=0)
 
     def _pointer(self, version: int) -> dict:
-        return json.loads(self.catalog._read(self.catalog._path(self.name, f"current-{version}.json"))) if version else {"applied": {}, "path": None}
+        if not version:
+            return {"applied": {}, "base": None, "deltas": []}
+        return json.loads(self.catalog._read(self.catalog._path(self.name, f"current-{version}.json")))
+
+    def _read(self, path: str | None, schema: str = DOCS) -> DataFrame:
+        reader = self.spark.read.schema(schema)
+        return reader.parquet(f"{self.catalog.root}/{self.name}/{path}") if path else self.spark.createDataFrame([], schema)
+
+    def _bytes(self, path: str | None) -> int:
+        return self.catalog._fs.getContentSummary(self.catalog._path(self.name, path)).getLength() if path else 0
+
+    def _folded(self, pointer: Mapping) -> DataFrame:
+        """The documents of a version. Neighbouring merges are folded into one, so the base is joined once for all of them."""
+        state, run = self._read(pointer["base"]), []
+
+        def applied(state: DataFrame) -> DataFrame:
+            if not run:
+                return state
+            rows = appended(*[self._read(path, f"op string, {DOCS}").withColumn("_v", F.lit(v)) for v, path in run])
+            last = (fold(rows, "_id", ("_v",)) if len(run) > 1 else rows).drop("_v")
+            run.clear()
+            return upsert(state, last, "_id")
+
+        for v, (kind, path) in enumerate(pointer["deltas"]):
+            if kind == "merge":
+                run.append((v, path))
+            else:
+                state = applied(state).unionByName(self._read(path, f"op string, {DOCS}").drop("op"))
+        return applied(state)
 
     def documents(self) -> DataFrame:
         """_id and doc of all live documents."""
-        path = self._pointer(self.version)["path"]
-        if path is None:
-            return self.spark.createDataFrame([], "_id string, doc map<string,array<string>>")
-        return self.spark.read.schema("_id string, doc map<string,array<string>>").parquet(f"{self.catalog.root}/{self.name}/{path}")
+        return self._folded(self._pointer(self.version))
 
     def table(self) -> DataFrame:
         return self.schema.typed(self.documents())
 
-    def _publish(self, docs: DataFrame, version: int, pointer: Mapping, batch: int | None, source: str) -> int:
-        """Writes a version and makes it the newest. Another writer that was faster makes the rename fail, and nothing is lost."""
-        path = f"v={version + 1}"
-        docs.select("_id", F.col("doc").cast(DOC_TYPE).alias("doc")).write.mode("overwrite").parquet(f"{self.catalog.root}/{self.name}/{path}")
+    def _publish(self, delta: DataFrame, kind: str, version: int, batch: int | None = None, source: str = "") -> int:
+        """Writes a delta (op, _id, doc) and makes it the newest version. Another writer that was faster makes the rename fail, and nothing is lost."""
+        pointer, path = self._pointer(version), f"delta-{version + 1}-{uuid.uuid4().hex}"
+        delta.select("op", "_id", F.col("doc").cast(DOC_TYPE).alias("doc")).write.parquet(f"{self.catalog.root}/{self.name}/{path}")
         applied = pointer["applied"] | ({source: batch} if batch is not None else {})
-        fs, made = self.catalog._fs, self.catalog._path(self.name, f"_new-{version + 1}.json")
-        self.catalog._write(made, json.dumps({"path": path, "applied": applied}))
-        if not fs.rename(made, self.catalog._path(self.name, f"current-{version + 1}.json")):
+        made = {"applied": applied, "base": pointer["base"], "deltas": [*pointer["deltas"], (kind, path)]}
+        grown = sum(self._bytes(p) for _, p in made["deltas"])
+        if len(made["deltas"]) >= MERGE_DELTAS or grown > MERGE_SHARE * self._bytes(made["base"]) > 0:
+            made = self._merged(made, version)
+        fs, new = self.catalog._fs, self.catalog._path(self.name, f"_new-{version + 1}-{uuid.uuid4().hex}.json")
+        self.catalog._write(new, json.dumps(made))
+        if not fs.rename(new, self.catalog._path(self.name, f"current-{version + 1}.json")):
             raise RuntimeError(f"index '{self.name}' got version {version + 1} from another writer")
         return version + 1
 
+    def _merged(self, pointer: Mapping, version: int) -> dict:
+        path = f"base-{version + 1}-{uuid.uuid4().hex}"
+        self._folded(pointer).write.parquet(f"{self.catalog.root}/{self.name}/{path}")
+        return {"applied": pointer["applied"], "base": path, "deltas": []}
+
     def applied(self, batch: int | None, source: str) -> bool:
         """Whether a batch of a source, or a later one, is in the index."""
         return batch is not None and self._pointer(self.version)["applied"].get(source, -1) >= batch
@@ -172,23 +211,20 @@ class IndexTable:
         version = self.version
         if self.applied(batch, source):
             return version
-        last = fold(ops.select("op", "_id", "doc", *order), "_id", order).select("op", "_id", "doc")
-        return self._publish(upsert(self.documents(), last, "_id"), version, self._pointer(version), batch, source)
+        return self._publish(fold(ops.select("op", "_id", "doc", *order), "_id", order), "merge", version, batch, source)
 
     def append(self, docs: DataFrame, batch: int | None = None, source: str = "default") -> int:
         """Adds documents as they come: without an _ID field, documents that repeat stay."""
         version = self.version
         if self.applied(batch, source):
             return version
-        return self._publish(self.documents().unionByName(docs.select("_id", "doc")), version, self._pointer(version), batch, source)
+        return self._publish(docs.withColumn("op", F.lit(ADD)), "append", version, batch, source)
 
     def add(self, docs: DataFrame) -> int:
         """Adds or, by _id, replaces documents of which each id occurs once."""
         if self.schema.id_field is None:
             return self.append(docs)
-        version = self.version
-        named = docs.select("_id", "doc").withColumn("op", F.lit(ADD))
-        return self._publish(upsert(self.documents(), named, "_id"), version, self._pointer(version), None, "")
+        return self._publish(docs.withColumn("op", F.lit(ADD)), "merge", self.version)
 
     def delete(self, ids: DataFrame | Sequence[str]) -> int:
         """Deletes the documents with these ids; an empty list is an error."""
@@ -196,11 +232,13 @@ class IndexTable:
             if not ids:
                 raise ValueError("a delete needs at least one id")
             ids = self.spark.createDataFrame([(str(i),) for i in ids], "_id string")
-        version = self.version
-        return self._publish(without_ids(self.documents(), ids, "_id"), version, self._pointer(version), None, "")
+        return self._publish(ids.select("_id", F.lit(DELETE).alias("op"), F.lit(None).alias("doc")).distinct(), "merge", self.version)
 
     def expire(self, keep: int = 2) -> None:
-        """Deletes all but the newest versions."""
-        for version in range(1, self.version - keep + 1):
-            for name in (f"v={version}", f"current-{version}.json"):
-                self.catalog._fs.delete(self.catalog._path(self.name, name), True)
+        """Deletes all but the newest versions, and files that these don't name."""
+        newest = self.version
+        named = {p for v in range(max(1, newest - keep + 1), newest + 1) for p in ([f"current-{v}.json"] + [x for _, x in self._pointer(v)["deltas"]] + [self._pointer(v)["base"]])}
+        for status in self.catalog._fs.listStatus(self.catalog._path(self.name)):
+            name = status.getPath().getName()
+            if name != "meta.json" and name not in named:
+                self.catalog._fs.delete(status.getPath(), True)
