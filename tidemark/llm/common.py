@@ -55,16 +55,18 @@ def id_cuts(df: DataFrame, key: str, parts: int) -> list[int]:
     """At most parts - 1 values of an integer column that cut its rows into ranges of about equal size; reads that column only."""
     if parts < 2:
         return []
-    qs = df.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 100 * parts).alias("q")).first()["q"]
+    qs = df.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], min(100 * parts, 1_000_000)).alias("q")).first()["q"]
     return sorted({int(q) for q in qs or []})
 
 
 def range_number(c: Column, cuts: list[int]) -> Column:
-    """0 for values below the first cut (and null), i for those from the i-th cut on."""
+    """0 for values below the first cut (and null), i for those from the i-th cut on; found by halving, so many cuts cost little."""
     if not cuts:
         return F.lit(0)
     array = F.from_json(F.lit("[" + ",".join(map(str, cuts)) + "]"), T.ArrayType(T.LongType()))
-    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(F.filter(array, lambda x: x <= c)))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(array, low + step - 1) <= c, low + step).otherwise(low))
+    return F.when(c.isNull(), F.lit(0)).otherwise(at)
 
 
 def by_id_ranges(df: DataFrame, key: str, parts: int, cuts: list[int]) -> DataFrame:

@@ -275,6 +275,7 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     found = saved(near_duplicates(keyed.select(F.col("_tm_key").alias("key"), "doc_id", "text"), threshold).select("key", "doc_id", "class_node", "n_links"), "near")
     several = found.where("n_links > 0")
     first = several.groupBy("class_node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("first"))
+    first = narrow(saved(first, "near-first"))  # saved, so that Spark can split a hot class where it isn't broadcast
     lost = saved(several.join(first, "class_node").where("key <> first").select(F.col("key").alias("_tm_key")).distinct(), "near-lost")
     kept = keyed.join(narrow(lost), "_tm_key", "left_anti")
     if not several.groupBy("key").count().where("count > 1").isEmpty():
