@@ -66,6 +66,9 @@ def test_covering():
     pairs = [(d, f) for d in range(100) for f in ("idiot$", "odd$")] + [(200 + d, "idiot$") for d in range(30)] + [(1, "rare$"), (300, "rare$")]
     chosen = T.cover(pairs, {"idiot$": (130, 130), "odd$": (100, 100), "rare$": (2, 2)}, 0.1)
     assert set(chosen) == {"idiot$", "rare$"} and T.evidence(1000, 0.1) == 5
+    assert T.cover([(1, "a$"), (2, "a$")], {"a$": (5, 2)}, 0.1) == {}
+    # A beginning that adds other documents and no toxic ones gives way to the word; one that adds toxic words doesn't.
+    assert T.general(["lose", "loser$", "lowe", "lowei$", "lowea$"], {"lose": (700, 600), "loser$": (600, 600), "lowe": (200, 200), "lowei$": (90, 90), "lowea$": (90, 90)}) == ["loser$", "lowe"]
 
 
 def test_copies_teach_nothing_of_their_own(spark):

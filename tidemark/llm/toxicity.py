@@ -39,7 +39,7 @@ CANDIDATES = 20_000
 FOLDS = 5
 #: Lengths of word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
-LEAST_PRECISION = 0.8
+LEAST_PRECISION = 0.9
 #: Strong evidence: so many times the contexts that chance would not give, and this share of a feature's toxic documents.
 STRONG, STRONG_SHARE = 3, 0.1
 ROWS = 500
@@ -293,16 +293,16 @@ def evidence(candidates: int, rate: float) -> int:
 
 
 def general(strong: list[str], stats: dict[str, tuple[int, int]]) -> list[str]:
-    """Of features that stand for one another the best: the longest of those with about the same documents, else the shortest."""
+    """Of features that stand for one another the best: the longest of those with about the same toxic documents, else the shortest."""
     taken: list[str] = []
-    for f in sorted(strong, key=lambda x: (-stats[x][0], -len(x), x)):
-        same = any(g != f and g.startswith(f) and stats[g][0] >= 0.9 * stats[f][0] for g in strong)
+    for f in sorted(strong, key=lambda x: (-stats[x][1], -len(x), x)):
+        same = any(g != f and g.startswith(f) and stats[g][1] >= 0.9 * stats[f][1] for g in strong)
         if not same and not any(f.startswith(g) for g in taken):
             taken.append(f)
     return taken
 
 
-def cover(pairs: list, stats: dict[str, tuple[int, int]], rate: float, first: Iterable[str] = ()) -> dict[str, float]:
+def cover(pairs: list, stats: dict[str, tuple[int, int]], rate: float, first: tuple[str, ...] | list[str] = ()) -> dict[str, float]:
     """The features in ``first``, then by sequential covering features that each explain toxic documents that those before don't."""
     left: dict[str, set] = defaultdict(set)
     having: dict[int, list[str]] = defaultdict(list)
@@ -315,6 +315,8 @@ def cover(pairs: list, stats: dict[str, tuple[int, int]], rate: float, first: It
         # Other documents count against a feature; of equal ones the longest is taken, which says least about other words.
         f = ahead.pop() if ahead else max(left, key=lambda x: (len(left[x]) - (stats[x][0] - stats[x][1]), len(x), x))
         n, bad = stats[f]
+        if f not in first and len(left[f]) <= n - bad:
+            break
         chosen[f] = (bad + rate) / (n + 1)
         for doc in list(left.get(f, ())):
             for other in having[doc]:
