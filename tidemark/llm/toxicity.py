@@ -38,7 +38,7 @@ TRAIN_ROWS = 20_000
 CANDIDATES = 20_000
 FOLDS = 5
 #: Lengths of word beginnings that are features beside whole words.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
 LEAST_PRECISION = 0.9
 #: Strong evidence: so many times the contexts that chance would not give, and this share of a feature's toxic documents.
 STRONG, STRONG_SHARE = 3, 0.1
@@ -48,10 +48,13 @@ KNOWN_CHUNKS = 200_000
 # The letters that a sign may stand for.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "aeiou",
+    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
-#: Costs, as natural logarithms, of one replaced letter, of one letter kept double, and of a word break among letters drawn apart.
-REPLACED, DOUBLED, BROKEN = 1.0, 1.5, 2.0
+#: Costs, as natural logarithms: of one replaced letter, of two equal letters read as one, of more read as two, and of a word
+#: break among letters drawn apart.
+REPLACED, SINGLED, DOUBLED, BROKEN = 1.0, 1.0, 0.5, 2.0
+#: Readings of a disguised run that count: the likeliest, and others that end differently.
+READINGS = 6
 LETTERS = "a-zß-öø-ž"
 SIGNS = re.escape("".join(LEET))
 _WORD = re.compile(f"[{LETTERS}]+")
@@ -89,7 +92,12 @@ class CharModel:
         return self.kept[t]
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
-        """The cheapest way through a lattice: each place offers strings at a cost; a blank ends a word and begins another."""
+        """The cheapest way through a lattice."""
+        return next(iter(self.readings(lattice)), "")
+
+    def readings(self, lattice: list[list[tuple[str, float]]], most: int = READINGS) -> list[str]:
+        """Viterbi over a lattice: each place offers strings at a cost; a blank ends a word and begins another. The cheapest
+        ways, one for each pair of last letters, the cheapest first."""
         best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
         for place in lattice:
             ahead: dict[str, tuple[float, str]] = {}
@@ -104,7 +112,8 @@ class CharModel:
                     if now not in ahead or total < ahead[now][0]:
                         ahead[now] = (total, said + letters)
             best = dict(sorted(ahead.items(), key=lambda x: x[1][0])[:64])
-        return min(((cost + self.cost(*state, "$"), said) for state, (cost, said) in best.items()), default=(0.0, ""))[1]
+        ends = sorted((cost + self.cost(*state, "$"), said) for state, (cost, said) in best.items())
+        return [said for _, said in ends[:most]]
 
 
 def lattice(run: str, apart: bool = False) -> list[list[tuple[str, float]]]:
@@ -112,7 +121,10 @@ def lattice(run: str, apart: bool = False) -> list[list[tuple[str, float]]]:
     places = []
     for n, (c, same) in enumerate(groupby(run)):
         options = [(c, 0.0)] if c not in LEET else [(x, REPLACED) for x in LEET[c]]
-        if len(list(same)) > 1:
+        times = len(list(same))
+        if times == 2:
+            options = [(x * 2, cost) for x, cost in options] + [(x, cost + SINGLED) for x, cost in options]
+        elif times > 2:
             options += [(x * 2, cost + DOUBLED) for x, cost in options]
         if apart and n:
             options += [(" " + x, cost + BROKEN) for x, cost in options]
@@ -122,9 +134,9 @@ def lattice(run: str, apart: bool = False) -> list[list[tuple[str, float]]]:
 
 def disguised(run: str) -> bool:
     letters = sum(c not in LEET for c in run)
-    if not 3 <= len(run) <= 40 or letters < 2:
+    if not 3 <= len(run) <= 40 or not letters:
         return False
-    return letters < len(run) <= 20 and 2 * letters >= len(run) - 1 or bool(_THRICE.search(run)) or bool(_PAIRS.search(run))
+    return letters < len(run) <= 20 and 3 * letters >= len(run) - 2 or bool(_THRICE.search(run)) or bool(_PAIRS.search(run))
 
 
 def words_in(chunk: str, model: CharModel) -> set[str]:
@@ -133,15 +145,20 @@ def words_in(chunk: str, model: CharModel) -> set[str]:
     for run in _RUN.findall(chunk):
         run = run.rstrip("!*+|(")
         if disguised(run):
-            words.update(model.decode(lattice(run)).split())
+            words.update(model.readings(lattice(run)))
     if len(chunk) > 4:
         parts = _APART.split(chunk)
         singles = [p for p in parts if p]
         if len(singles) >= 3 and all(len(p) == 1 for p in singles) and len(singles) <= 60:
-            words.update(model.decode(lattice("".join(singles), apart=True)).split())
+            words.update(joined("".join(singles), model))
     return words
 
 
+def joined(run: str, model: CharModel) -> set[str]:
+    """Words of letters drawn apart: as one word, and with breaks where they are likely."""
+    return {*model.readings(lattice(run)), *model.decode(lattice(run, apart=True)).split()}
+
+
 def features(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in BEGINNINGS if len(word) > n)]
 
@@ -171,7 +188,7 @@ def seen_features(text: str, model: CharModel) -> dict[str, str]:
                     out.setdefault(f, before)
         before = chunk
     for run in drawn_apart(chunks):
-        for w in model.decode(lattice(run, apart=True)).split():
+        for w in joined(run, model):
             for f in features(w):
                 out.setdefault(f, run)
     return out
@@ -240,7 +257,7 @@ class Scorer:
                     self.clean.add(chunk)
             out |= hit
         for run in drawn_apart(chunks):
-            out |= self._found(self.model.chars.decode(lattice(run, apart=True)).split())
+            out |= self._found(joined(run, self.model.chars))
         return out
 
     def score(self, text: str) -> float:
