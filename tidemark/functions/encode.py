@@ -33,6 +33,7 @@ LAKE = Policy("json", "json")
 STRICT_LAKE = Policy("json", "placeholder")
 TOPIC = Policy("multi", "flatten")
 
+#: Fixed value.
 PLACEHOLDER = '{"nested":"row"}'
 
 

@@ -23,6 +23,10 @@ class Sharding(Protocol):
     def describe(self) -> str: ...
 
 
+#: Fixed value.
+EVERYTHING = "No sharding - processing all data"
+
+
 class NoSharding:
     def validate(self, name: str, partition_keys: list[str]) -> None:
         return None
@@ -31,7 +35,7 @@ class NoSharding:
         return table
 
     def describe(self) -> str:
-        return "No sharding - processing all data"
+        return EVERYTHING
 
 
 def shard_id(service: str, shards: int) -> int:
@@ -72,7 +76,7 @@ class ModuloSharding:
         return table.where(F.col(self.partition_field) == F.lit(shard_id(service, self.max_shards)))
 
     def describe(self) -> str:
-        return f"Modulo sharding: partition_field={self.partition_field}, max_shards={self.max_shards} (partition-level file pruning)"
+        return f"one of {self.max_shards} partitions of {self.partition_field}"
 
 
 class GeoSharding:

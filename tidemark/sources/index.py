@@ -30,7 +30,7 @@ class MissingIndex(RuntimeError):
     """Documents came for an index that doesn't exist yet."""
 
     def __init__(self, name: str):
-        super().__init__(f"INVALID_ARGUMENT: index '{name}' does not exist, unable to add documents")
+        super().__init__(f"index '{name}' does not exist, or isn't started")
 
 
 @dataclass(frozen=True)
