@@ -43,6 +43,35 @@ def test_size_flush(spark):
         C.batches(C.operations(rows), size=0)
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_pieces_give_what_one_writer_sends(spark, parts):
+    """Buckets in any number of pieces, runs over several of them."""
+    rng = random.Random(parts)
+    kinds, log = "+I", []
+    for i in range(300):
+        kinds = rng.choice(["+I", "-D"]) if rng.random() < 0.15 else kinds
+        log.append((i, kinds, rng.choice([0, 0, 0, 1]), i // 9, i))
+    want = []
+    for bucket in (0, 1):
+        runs = []
+        for photo, kind, b, _, _ in log:
+            if b == bucket:
+                op = "ADD" if kind == "+I" else "DELETE"
+                if not runs or runs[-1][0] != op:
+                    runs.append((op, []))
+                runs[-1][1].append(photo)
+        want += [(bucket, n + 1, at // 4, op, ids[at : at + 4]) for n, (op, ids) in enumerate(runs) for at in range(0, len(ids), 4)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = C.sent(C.operations(spark.createDataFrame(log, SCHEMA)), "photo_id", size=4).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted((r["_bucket"], r["run"], r["batch"], r["op"], r["values"]) for r in got) == sorted(want)
+
+
 def test_unknown_kinds_are_passed_over(spark):
     assert C.operations(rows_of(spark, "+X1 +I2")).count() == 1
     assert C.operations(rows_of(spark, "-U1 +U2"), update_before="delete").where("op = 'DELETE'").count() == 1

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..storage import narrow, saved
+
 ADD, DELETE = "ADD", "DELETE"
 ORDER = ("_snapshot_id", "_seq")
 
@@ -48,15 +50,39 @@ def live(ops: DataFrame, key: str | Sequence[str], order: Sequence[str] = ORDER)
 def batches(ops: DataFrame, by: str = "_bucket", order: Sequence[str] = ORDER, size: int = 1000) -> DataFrame:
     """Operations with ``run`` and ``batch``, as a writer of each bucket sends them: neighbours of one operation make a run, cut after ``size`` rows.
 
-    Buckets are the unit of order and of a task here, as they are where the changelog is written.
+    A bucket is in order as a whole, but no task has to hold it: rows are dealt out by ranges of bucket and order, and
+    saved. Runs are numbered within a range; a row for each range of a bucket, its pieces, then says how many runs came
+    before it and how much of its first run.
     """
     if size <= 0:
         raise ValueError(f"a batch has at least one row, not {size}")
-    w = W.partitionBy(by).orderBy(*order)
-    turned = F.when(F.lag("op").over(w) == F.col("op"), 0).otherwise(1)
-    runs = ops.withColumn("_turned", turned).withColumn("run", F.sum("_turned").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    place = F.row_number().over(W.partitionBy(by, "run").orderBy(*order)) - 1
-    return runs.withColumn("batch", F.floor(place / F.lit(size))).drop("_turned")
+    rows = saved(ops.repartitionByRange(by, *order).withColumn("_piece", F.spark_partition_id()), "changes")
+    piece = W.partitionBy("_piece", by).orderBy(*order)
+    so_far = piece.rowsBetween(W.unboundedPreceding, 0)
+    turned = F.when(F.lag("op").over(piece) != F.col("op"), 1).otherwise(0)
+    local = rows.withColumn("_turned", turned).withColumn("_run", F.sum("_turned").over(so_far)).drop("_turned")
+    local = local.withColumn("_place", F.row_number().over(W.partitionBy("_piece", by, "_run").orderBy(*order)) - 1)
+
+    runs = local.groupBy("_piece", by, "_run").agg(F.first("op").alias("op"), F.count("*").alias("n"))
+    last = F.max_by(F.struct("op", "n"), "_run")
+    pieces = runs.groupBy("_piece", by).agg(F.min_by("op", "_run").alias("_first"), last.alias("_last"), F.max("_run").alias("_turns"))
+    across = W.partitionBy(by).orderBy("_piece")
+    before = across.rowsBetween(W.unboundedPreceding, -1)
+    starts = F.coalesce(F.lag("_last.op").over(across) != F.col("_first"), F.lit(True))
+    pieces = pieces.withColumn("_starts", starts)
+    begun = F.sum(F.col("_starts").cast("long")).over(across.rowsBetween(W.unboundedPreceding, 0))
+    pieces = pieces.withColumn("_base", begun + F.coalesce(F.sum("_turns").over(before), F.lit(0)))
+    pieces = saved(pieces.withColumn("_end", F.col("_base") + F.col("_turns")), "pieces")
+    # What earlier pieces hold of a piece's first run: they end in it.
+    ending = W.partitionBy(by, "_end").orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    whole = pieces.groupBy(by, F.col("_end").alias("_base")).agg(F.sum("_last.n").alias("_whole"))
+    held = F.when(F.col("_turns") == 0, F.sum("_last.n").over(ending)).otherwise(F.col("_whole"))
+    held = F.when(F.col("_starts"), 0).otherwise(F.coalesce(held, F.lit(0)))
+    known = pieces.join(whole, [by, "_base"], "left").select("_piece", by, "_base", held.alias("_held"))
+    placed = local.join(narrow(saved(known, "pieces")), ["_piece", by])
+    place = F.col("_place") + F.when(F.col("_run") == 0, F.col("_held")).otherwise(0)
+    made = placed.withColumn("run", F.col("_base") + F.col("_run")).withColumn("batch", F.floor(place / F.lit(size)))
+    return made.select(*ops.columns, "run", "batch")
 
 
 def sent(ops: DataFrame, value: str, by: str = "_bucket", order: Sequence[str] = ORDER, size: int = 1000) -> DataFrame:
