@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..storage import narrow, saved
+from ..storage import BROADCAST_ROWS, saved
 
 ADD, DELETE = "ADD", "DELETE"
 ORDER = ("_snapshot_id", "_seq")
@@ -79,7 +79,7 @@ def batches(ops: DataFrame, by: str = "_bucket", order: Sequence[str] = ORDER, s
     held = F.when(F.col("_turns") == 0, F.sum("_last.n").over(ending)).otherwise(F.col("_whole"))
     held = F.when(F.col("_starts"), 0).otherwise(F.coalesce(held, F.lit(0)))
     known = pieces.join(whole, [by, "_base"], "left").select("_piece", by, "_base", held.alias("_held"))
-    placed = local.join(narrow(saved(known, "pieces")), ["_piece", by])
+    placed = local.join(F.broadcast(known) if pieces.count() <= BROADCAST_ROWS else known, ["_piece", by])
     place = F.col("_place") + F.when(F.col("_run") == 0, F.col("_held")).otherwise(0)
     made = placed.withColumn("run", F.col("_base") + F.col("_run")).withColumn("batch", F.floor(place / F.lit(size)))
     return made.select(*ops.columns, "run", "batch")
