@@ -37,7 +37,9 @@ def line_key(line: Column) -> Column:
 
 def long_keys(text: Column, least: int) -> Column:
     """Distinct keys of a text's lines that have ``least`` code points or more."""
-    return F.array_distinct(F.filter(F.transform(lines_of(text), line_key), lambda k: F.length(k) >= least))
+    # Lines that are short as they stand are not worth folding.
+    long = F.filter(lines_of(text), lambda line: F.length(line) >= least)
+    return F.array_distinct(F.filter(F.transform(long, line_key), lambda k: F.length(k) >= least))
 
 
 def hashed_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
