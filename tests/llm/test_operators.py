@@ -200,7 +200,7 @@ def test_labels_estimate_similarity():
     assert same == pytest.approx(900 / 1100, abs=0.12)
 
 
-@pytest.mark.parametrize("block", [3, 512])
+@pytest.mark.parametrize("block", [3, 256])
 def test_blocks_find_all_links(spark, monkeypatch, block):
     """A cluster larger than a block: every link is found and nothing but links."""
     monkeypatch.setattr(neardup, "BLOCK_NODES", block)

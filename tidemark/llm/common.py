@@ -20,6 +20,12 @@ __all__ = ["fresh_path", "remove", "saved", "shared_dir", "table"]
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: DuckDB's expression for the words of ``text``.
+SQL_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
 #: Bytes that are no part of a word become blanks, A-Z become a-z; bytes of other code points stay.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_batches, tidy, words_of
+from .common import SQL_WORDS, table, text_batches, tidy, words_of
 
 WINDOW = 10
 #: Words of test items in one automaton; more items go to further automata, which a task loads one after another.
@@ -242,16 +242,11 @@ def op1(spark, sf_dir: str) -> DataFrame:
     )
 
 
-_SQL_WORDS = (
-    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-)
-
 OP1_SQL = f"""
-with item as (select cast(item_id as varchar) item_id, {_SQL_WORDS} w from benchmark where item_id is not null and text is not null),
+with item as (select cast(item_id as varchar) item_id, {SQL_WORDS} w from benchmark where item_id is not null and text is not null),
 win as (select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') g
         from (select item_id, w, least(10, len(w)) k, unnest(range(1, len(w) - least(10, len(w)) + 2)) i from item where len(w) > 0)),
-doc as (select doc_id, {_SQL_WORDS} w from documents),
+doc as (select doc_id, {SQL_WORDS} w from documents),
 gram as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') g
          from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) i from doc, (select distinct k from win) where len(w) >= k)),
 hit as (select gram.doc_id, gram.i, gram.k, win.item_id from gram join win on gram.k = win.k and gram.g = win.g),

@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, saved, small_batches, table, text_batches, tidy, words_of
+from .common import SQL_WORDS, narrow, saved, small_batches, table, text_batches, tidy, words_of
 from .components import components
 from .fingerprint import WordHashes, shingle_hashes
 
 THRESHOLD, SHINGLE = 0.8, 5
 TREES, DEPTH, TARGET = 20, 8, 0.995
 #: Nodes, and shingles, that a block of a cluster has on average at most.
-BLOCK_NODES, BLOCK_SHINGLES = 512, 400_000
+BLOCK_NODES, BLOCK_SHINGLES = 256, 400_000
 ROWS = 500
 
 
@@ -286,3 +286,19 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
 def op10(spark, sf_dir: str) -> DataFrame:
     docs = table(text_batches(spark), sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "n_links", "n_text_links")
+
+
+OP10_SQL = f"""
+with recursive doc as (select doc_id, {SQL_WORDS} w from documents),
+gram as (select distinct doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') g
+         from (select doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) i from doc where len(w) > 0)),
+bag as (select doc_id, count(*) n, md5(string_agg(g, chr(10) order by g)) id from gram group by 1),
+sized as (select doc_id, coalesce(n, 0) n, coalesce(id, '') id from doc left join bag using (doc_id)),
+met as (select a.doc_id a, b.doc_id b, count(*) c from gram a join gram b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+pair as (select a, b, y.id <> x.id other, y.id from met join sized x on x.doc_id = a join sized y on y.doc_id = b where c >= 0.8 * (x.n + y.n - c) - 1e-9
+         union all select x.doc_id, y.doc_id, false, '' from sized x join sized y on x.n = 0 and y.n = 0 and x.doc_id <> y.doc_id),
+reach(a, b) as (select doc_id, doc_id from doc union select reach.a, pair.b from reach join pair on reach.b = pair.a),
+class as (select a doc_id, min(b) class_id from reach group by 1),
+link as (select a doc_id, count(*) n_links, count(distinct id) filter (where other) n_text_links from pair group by 1)
+select doc_id, class_id, coalesce(n_links, 0) n_links, coalesce(n_text_links, 0) n_text_links from class left join link using (doc_id)
+"""

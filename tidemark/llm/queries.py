@@ -19,4 +19,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_benchmark_decontamination": decontaminate.OP1_SQL,
     "op3_line_dedup": linededup.OP3_SQL,
+    "op10_ngram_jaccard_join": neardup.OP10_SQL,
 }
