@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import saved
+
 #: BM25 as published.
 K1, B = 1.2, 0.75
 
@@ -83,15 +85,15 @@ class Page:
 def bm25(docs: DataFrame, key: str, text: str, query: str, pattern: str = r"[^\p{L}\p{N}]+") -> DataFrame:
     """key and score of the documents that hold a word of the query.
 
-    One pass counts the query's words in each document without exploding texts; a second aggregates length and document
-    frequencies, a number for each distinct word of the query.
+    One pass over the texts counts the query's words in each document without exploding it; lengths and document
+    frequencies, a number for each distinct word of the query, are summed from its counts.
     """
     asked = sorted({w for w in _analyse(docs, query, pattern)})
     if not asked:
         return docs.select(key, F.lit(0.0).alias("score")).limit(0)
     words = docs.select(key, tokens(F.col(text), pattern).alias("_w"))
     tf = [_times("_w", q).alias(f"_tf{i}") for i, q in enumerate(asked)]
-    counted = words.select(key, F.size("_w").alias("_len"), *tf)
+    counted = saved(words.select(key, F.size("_w").alias("_len"), *tf), "term-counts")  # numbers only, read twice
     sums = counted.agg(F.count("*").alias("n"), F.avg("_len").alias("mean"), *[F.sum((F.col(f"_tf{i}") > 0).cast("long")).alias(f"df{i}") for i in range(len(asked))])
     scored = counted.crossJoin(F.broadcast(sums))  # one row
     norm = F.lit(K1) * (1 - B + B * F.col("_len") / F.col("mean"))
