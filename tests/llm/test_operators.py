@@ -318,6 +318,14 @@ def test_licence_templates(spark):
     assert all(got[900 + i] == [""] for i in range(200))
 
 
+def test_common_notices_keep_their_label(spark):
+    """In tables of 1, 2 and 4 files, and where half of the files or all of them share a notice."""
+    for n, holders in ((1, 1), (2, 1), (2, 2), (4, 1), (4, 4), (60, 30), (60, 60)):
+        docs = [(i, f"plain words {i} " + ("licensed under cc by 4 0" if i < holders else "of no licence")) for i in range(n)]
+        got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        assert got == {i: ("cc-by", 1.0) if i < holders else ("", 0.0) for i in range(n)}, (n, holders)
+
+
 @pytest.mark.parametrize("name", ["op3_line_dedup", "op4_url_filters", "op6_secret_scans", "op7_license_scans"])
 def test_native_queries_run_no_python(spark, fixture, name, tmp_path):
     from tidemark.llm.queries import QUERIES

@@ -1,13 +1,14 @@
 """License scans by a positional index of rare words, in DataFrame functions only.
 
-Templates are short notices. Their words, but for the commonest, are indexed with their places. Of each file the RARE
-licence words with the highest inverse document frequency, counted over all documents, are looked up; a posting of
-word w at place p of a template, found at place q of the file, votes for that template starting at q - p. A template
-is accepted where the votes at one start (and SLACK places around it) reach SHARE of the weight of the template's own
-rarest words, and the file has one of its mandatory key phrases.
+Templates are short notices. The RARE words of each with the highest inverse document frequency, counted over all
+documents, are indexed with their places; a word in every document still weighs FLOOR. Of each file the licence words
+that are indexed are looked up; a posting of word w at place p of a template, found at place q of the file, votes for
+that template starting at q - p. A template is accepted where the votes at one start (and SLACK places around it) reach
+SHARE of the weight of the template's own rarest words, and the file has one of its mandatory key phrases.
 
-Only files that hold a word of some phrase can be accepted, so only these are looked up. Lookups meet a broadcast index
-of fixed size; votes are summed per file, template and start before anything is compared.
+Only files that hold some phrase can be accepted, and only by templates whose phrase they hold, so only these are looked
+up. Lookups meet a broadcast index of fixed size. Votes are shuffled once, by file, before their neighbours are added; a
+start's words are bits of one number, so nothing is kept for each word.
 
 Defined results: null counts as empty; a file without licence words has empty labels and score 0; a phrase that occurs
 in overlapping places counts at each; rows that repeat are scanned one by one; further columns are not read.
@@ -15,9 +16,10 @@ in overlapping places counts at each; rows that repeat are scanned one by one; f
 
 from __future__ import annotations
 
-import json
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,10 +55,10 @@ TEMPLATES = [
     ("wtfpl", "do what the fuck you want to public license", ["want to public license"]),
 ]
 
-#: Rare words that are looked up for a file, and share of a template's weight that must agree in place.
+#: Rarest words of a template that are indexed, share of their weight that must agree in place, and places that may slip.
 RARE, SHARE, SLACK = 12, 0.6, 2
-#: Words that more than about a third of all documents have say nothing: they are neither indexed nor looked up.
-LEAST_IDF = 1.0
+#: Weight of a word that all documents have.
+FLOOR = 0.01
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -107,37 +109,35 @@ def scan(docs: DataFrame, rare: int = RARE, share: float = SHARE) -> DataFrame:
     rows = saved(licence_words(docs), "licence-words")
     n = rows.count()
     seen = dict(rows.select(F.explode("found").alias("w")).groupBy("w").count().collect())  # one row for each word of the vocabulary
-    idf = {w: math.log((n + 1) / (seen.get(w, 0) + 1)) + 0.01 for w in vocabulary()}
-    weights = F.from_json(F.lit(json.dumps(idf)), "map<string,double>")
+    idf = {w: math.log((n + 1) / (seen.get(w, 0) + 1)) + FLOOR for w in vocabulary()}
 
-    # A template's own rarest words weigh what a full match can reach; its common words are not indexed.
+    # A template's own rarest words, however common, weigh what a full match can reach; further words are not indexed.
     postings, needed = [], []
-    for number, (_, notice, _) in enumerate(TEMPLATES):
-        rarest = [w for w in sorted(set(notice.split()), key=lambda w: (-idf[w], w))[:rare] if idf[w] >= LEAST_IDF]
-        needed.append((number, float(sum(idf[w] for w in rarest))))
-        postings += [(w, number, at) for at, w in enumerate(notice.split()) if w in rarest]
-    index = F.broadcast(spark.createDataFrame(postings, "w string, template int, place int"))
-    full = F.broadcast(spark.createDataFrame(needed, "template int, needed double"))
+    for number, (label, notice, _) in enumerate(TEMPLATES):
+        rarest = sorted(set(notice.split()), key=lambda w: (-idf[w], w))[:rare]
+        needed.append((number, label, [idf[w] for w in rarest], float(sum(idf[w] for w in rarest))))
+        postings += [(w, number, at, 1 << rarest.index(w)) for at, w in enumerate(notice.split()) if w in rarest]
+    index = F.broadcast(spark.createDataFrame(postings, "w string, template int, place int, bit long"))
+    full = F.broadcast(spark.createDataFrame(needed, "template int, label string, weights array<double>, needed double"))
 
     phrases = all_phrases()
     held = {p: f"_p{k}" for k, p in enumerate(phrases)}
     licensed = rows.where("size(hits) > 0").select("row", "hits", *[phrase_places(F.col("hits"), p).alias(c) for p, c in held.items()])
     licensed = saved(licensed.where(" or ".join(f"size({c}) > 0" for c in held.values())), "licence-phrases")
 
-    distinct = F.array_distinct(F.transform("hits", lambda h: h["w"]))
-    ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.element_at(weights, w)).alias("o"), w.alias("w"))))
-    rarest = F.transform(F.slice(F.filter(ranked, lambda s: s["o"] <= -LEAST_IDF), 1, 2 * rare), lambda s: s["w"])
-    looked = licensed.select("row", "hits", rarest.alias("rarest")).select("row", F.explode(F.filter("hits", lambda h: F.array_contains("rarest", h["w"]))).alias("h"))
-    votes = looked.select("row", "h.w", "h.at").join(index, "w").select("row", "template", "w", (F.col("at") - F.col("place")).alias("start"))
-    # A start's votes count for its neighbours too, so a word more or less does not part them; each word counts once.
-    near = votes.select("row", "template", "w", F.explode(F.array(*[F.col("start") + d for d in range(-SLACK, SLACK + 1)])).alias("start"))
-    summed = near.distinct().groupBy("row", "template", "start").agg(F.sum(F.element_at(weights, F.col("w"))).alias("weight"))
-    shares = summed.groupBy("row", "template").agg(F.max("weight").alias("weight")).join(full, "template")
-    shares = shares.select("row", "template", F.least(F.lit(1.0), F.round(F.col("weight") / F.col("needed"), 9)).alias("share")).where(F.col("share") >= share)
-    mandatory = F.broadcast(spark.createDataFrame([(k, label, ps) for k, (label, _, ps) in enumerate(TEMPLATES)], "template int, label string, phrases array<string>"))
-    has = F.array_compact(F.array(*[F.when(F.size(c) > 0, F.lit(p)) for p, c in held.items()]))
-    checked = shares.join(mandatory, "template").join(licensed.select("row", has.alias("has")), "row").where(F.arrays_overlap("phrases", "has"))
-    accepted = checked.groupBy("row").agg(F.collect_set("label").alias("added"), F.max("share").alias("share"))  # as many labels as templates at most
+    # Templates that a file may be accepted for; one whose phrases it lacks needs no votes.
+    possible = F.array_compact(F.array(*[F.when(reduce(or_, [F.size(held[p]) > 0 for p in ps]), F.lit(k)) for k, (_, _, ps) in enumerate(TEMPLATES)]))
+    by_idf = F.array(*[F.lit(w) for w in sorted(idf, key=lambda w: (-idf[w], w))])
+    rarest = F.slice(F.array_intersect(by_idf, F.transform("hits", lambda h: h["w"])), 1, 2 * rare)
+    looked = licensed.select("row", possible.alias("possible"), F.explode(F.filter("hits", lambda h: F.array_contains(rarest, h["w"]))).alias("h")).select("row", "possible", "h.w", "h.at")
+    votes = looked.join(index, "w").where(F.array_contains("possible", F.col("template"))).select("row", "template", (F.col("at") - F.col("place")).alias("start"), "bit")
+    # A start's votes count for its neighbours too, so a word more or less does not part them; each word counts once, as a bit.
+    starts = votes.repartition("row").groupBy("row", "template", "start").agg(F.bit_or("bit").alias("bits"))
+    near = starts.select("row", "template", "bits", F.explode(F.array(*[F.col("start") + d for d in range(-SLACK, SLACK + 1)])).alias("start"))
+    summed = near.groupBy("row", "template", "start").agg(F.bit_or("bits").alias("bits")).select("row", "template", "bits").distinct()
+    weight = F.aggregate(F.transform("weights", lambda v, i: F.when(F.getbit("bits", i) == 1, v).otherwise(0.0)), F.lit(0.0), lambda x, y: x + y)
+    shares = summed.join(full, "template").select("row", "label", F.least(F.lit(1.0), F.round(weight / F.col("needed"), 9)).alias("share")).where(F.col("share") >= share)
+    accepted = shares.groupBy("row").agg(F.collect_set("label").alias("added"), F.max("share").alias("share"))  # as many labels as templates at most
 
     base_places = F.concat(*[F.col(held[p]) for p in BASE])
     base_labels = F.array_sort(F.array_compact(F.array(*[F.when(F.size(held[p]) > 0, F.lit(label)) for p, label in BASE.items()])))
