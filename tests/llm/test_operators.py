@@ -326,6 +326,13 @@ def test_common_notices_keep_their_label(spark):
         assert got == {i: ("cc-by", 1.0) if i < holders else ("", 0.0) for i in range(n)}, (n, holders)
 
 
+def test_one_file_with_all_notices(spark):
+    text = " x y z ".join(notice for _, notice, _ in licenses.TEMPLATES)
+    docs = [(1, text)] + [(900 + i, "plain words of no licence at all") for i in range(200)]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert set(got[1].split(",")) == {label for label, _, _ in licenses.TEMPLATES}
+
+
 @pytest.mark.parametrize("name", ["op3_line_dedup", "op4_url_filters", "op6_secret_scans", "op7_license_scans"])
 def test_native_queries_run_no_python(spark, fixture, name, tmp_path):
     from tidemark.llm.queries import QUERIES

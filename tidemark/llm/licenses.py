@@ -127,9 +127,7 @@ def scan(docs: DataFrame, rare: int = RARE, share: float = SHARE) -> DataFrame:
 
     # Templates that a file may be accepted for; one whose phrases it lacks needs no votes.
     possible = F.array_compact(F.array(*[F.when(reduce(or_, [F.size(held[p]) > 0 for p in ps]), F.lit(k)) for k, (_, _, ps) in enumerate(TEMPLATES)]))
-    by_idf = F.array(*[F.lit(w) for w in sorted(idf, key=lambda w: (-idf[w], w))])
-    rarest = F.slice(F.array_intersect(by_idf, F.transform("hits", lambda h: h["w"])), 1, 2 * rare)
-    looked = licensed.select("row", possible.alias("possible"), F.explode(F.filter("hits", lambda h: F.array_contains(rarest, h["w"]))).alias("h")).select("row", "possible", "h.w", "h.at")
+    looked = licensed.select("row", possible.alias("possible"), F.explode("hits").alias("h")).select("row", "possible", "h.w", "h.at")
     votes = looked.join(index, "w").where(F.array_contains("possible", F.col("template"))).select("row", "template", (F.col("at") - F.col("place")).alias("start"), "bit")
     # A start's votes count for its neighbours too, so a word more or less does not part them; each word counts once, as a bit.
     starts = votes.repartition("row").groupBy("row", "template", "start").agg(F.bit_or("bit").alias("bits"))
