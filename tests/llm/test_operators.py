@@ -161,6 +161,20 @@ def test_rounds_of_blocks(spark, monkeypatch):
         assert sum(r["times"] * r["size"] for r in mine) == pytest.approx(mine[0]["target"], rel=0.01)
 
 
+def test_long_documents_beside_a_source_of_many_blocks(spark, monkeypatch):
+    """Each source lands near its target, also with one very long document, be it smaller or larger than a block."""
+    monkeypatch.setattr(mixing, "BLOCK", 256)
+    rng = random.Random(9)
+    rows = [(f"a{i}", "a", rng.randint(20, 300)) for i in range(3000)] + [("a", "a", 30_000)]
+    rows += [(f"{s}{i}", s, rng.randint(20, 300)) for s in "bcdef" for i in range(60)] + [(s, s, 5000) for s in "bcdef"]
+    sizes = [sum(r[2] for r in rows if r[1] == s) for s in "abcdef"]
+    out = mixing.choose(spark.createDataFrame(rows, "key string, source string, size long"), sizes, 0.45).collect()
+    assert len(out) == len(rows)
+    for s in "abcdef":
+        mine = [r for r in out if r["source"] == s]
+        assert sum(r["times"] * r["size"] for r in mine) == pytest.approx(mine[0]["target"], rel=0.01), s
+
+
 def test_targets_of_many_sources(spark, monkeypatch):
     rng = random.Random(8)
     rows = spark.createDataFrame([(f"s{i}", rng.randint(0, 900)) for i in range(40)] + [(None, 5)], "source string, size long")

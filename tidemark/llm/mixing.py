@@ -6,10 +6,10 @@ A document of a source with rate r = target / words is taken floor(r) times, and
 
 The flight phase of the cube method moves these probabilities to 0 or 1 along the null space of two constraints, the
 number of documents and the number of words, so both totals keep their values. It runs in blocks of a source's
-documents at a time; each leaves two undecided documents at most, and these go to the next round's blocks until a
-source has one block. There a dozen documents of halving sizes are kept out of the flight; with its last two they are
-the landing problem, decided by trying all ways for the one nearest to the expected words. Should the nearest still miss
-by more than MISS of the target, which takes a source of few and very unequal documents, further documents make up for it.
+documents at a time. A dozen documents of halving sizes are kept out of each flight; with its last two, LANDING at most,
+they go to the next round's blocks until a source has one block, whatever the other sources have, or at once if the block has a document of over MISS of the
+source's target. Then they are the landing problem, decided by trying all ways for the one nearest to the expected words. Should the nearest still miss by
+more than MISS of the target, which takes a source of few and very unequal documents, further documents make up for it.
 
 Defined results: null texts have no words; a source without words has target 0 and takes nothing; rows that repeat
 are taken independently; random numbers depend on the rows of a block alone, so reruns agree.
@@ -142,14 +142,17 @@ def mended(p: np.ndarray, x: np.ndarray, free: np.ndarray, error: float) -> np.n
     return p
 
 
-def _decide(level: int, last: bool):
-    """What a round does with a block: the flight, and in the last round the landing."""
+def _decide(level: int, size: int):
+    """What a round does with a block: the flight, and for a source of one block of at most ``size`` documents the landing."""
 
     def decide(key, block):
         columns = block.columns
         block = block.sort_values(["size", "key"], ascending=[False, True], kind="stable", ignore_index=True)
         p, x = block["p"].to_numpy(copy=True), block["size"].to_numpy()
-        back = kept_back(p, x) if last else np.array([], dtype=int)
+        n, target = (block[c].iloc[0] for c in ("n_docs", "target"))
+        # A document beyond MISS is decided here, where a whole block can make up for it; few documents are left later.
+        last = n <= size or x.max() > MISS * target
+        back = kept_back(p, x)
         free, due = (p > 0) & (p < 1), float(p @ x)
         held, p[back] = p[back], 0.0
         p = flight(p, x.tolist(), np.random.default_rng([level, int(key[0]), int(key[1])]))
@@ -157,7 +160,7 @@ def _decide(level: int, last: bool):
         if last:
             p = land(p, x)
             error = due - float(p @ x)
-            if len(p) and abs(error) > MISS * block["target"].iloc[0]:
+            if abs(error) > MISS * target * min(1, len(p) / n):
                 p = mended(p, x, free, error)
         block["p"] = p
         return block[[c for c in columns if c != "_block"]]
@@ -183,21 +186,20 @@ def choose(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float =
     schema = state.schema
     most, level = plan.agg(F.max("n_docs")).first()[0] or 0, 0
     while True:
-        # Undecided rows per source are known in advance: all at first, then two for each block.
+        # Undecided rows per source are known in advance: all at first, then LANDING for each block at most.
         blocks = F.ceil(F.col("n_docs") / BLOCK)
-        last = most <= BLOCK
 
         # A block is a hash range of its source's rows: a hot source has as many blocks as its rows need.
         blocked = state.withColumn("_block", F.pmod(F.xxhash64("key", F.lit(level)), blocks).cast("long"))
         path = fresh_path(spark, f"flight-{level}")
-        blocked.groupBy("number", "_block").applyInPandas(_decide(level, last), schema).write.parquet(path)
+        blocked.groupBy("number", "_block").applyInPandas(_decide(level, BLOCK), schema).write.parquet(path)
         done = spark.read.schema(schema).parquet(path)
         whole = F.col("p").isin(0.0, 1.0)
         parts.append(done.where(whole).withColumn("times", F.col("times") + F.col("p").cast("long")).select(*kept))
-        if last:
+        if most <= BLOCK:
             break
-        state = done.where(~whole).withColumn("n_docs", 2 * F.ceil(F.col("n_docs") / BLOCK))
-        most, level = 2 * -(-most // BLOCK), level + 1
+        state = done.where(~whole).withColumn("n_docs", LANDING * F.ceil(F.col("n_docs") / BLOCK))
+        most, level = LANDING * -(-most // BLOCK), level + 1
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
