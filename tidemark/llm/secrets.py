@@ -1,7 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest. DataFrame functions only.
 
 A candidate is a word (between white space) that is, but for quotes and a ``name=`` before it, a run of at least
-LEAST characters of keys and tokens with a digit, or of 16 or more capitals. The forest sees its length, the
+LEAST characters of keys and tokens with a digit, or of 16 or more capitals. A word that is more than this is searched
+for such runs between other signs, for passwords in urls, and for values after a name and = or :, which may hold signs
+up to their closing quote or separator; the name may also be the word before. The forest sees its length, the
 transitions between lower case, upper case, digits and signs, the share of each, of distinct characters and of
 hexadecimal ones, how much of it dictionary words cover, marks of test data in its path, and the neighbouring words. The
 dictionary is what stands as a word in at least DICTIONARY_DOCS documents of the corpus. The forest is trained by Spark
@@ -27,6 +29,15 @@ LABELLED_ROWS = 100_000
 TREES, TREE_DEPTH = 40, 6
 SPACE = r"[\x20\x09-\x0D]+"
 
+_NAME = r"[A-Za-z0-9_\-.]"
+_SIGNED = r"""[^\s"'`\\<>(){}\[\],;&=]|&(?!%s+=)""" % _NAME
+#: Within a word: the password of a url (1), a name (2) with a value in quotes (3) or without (4), or a run by itself (5), which is no part of a mail address.
+INSIDE = "|".join([
+    r"""(?<![A-Za-z0-9+.\-])[A-Za-z][A-Za-z0-9+.\-]*+://[^/:@\s]*+:([^/\s"'<>,;]{%d,})@""" % LEAST,
+    r"""(?<!%s)(?=[0-9.\-]*+[A-Za-z_])(%s++)\\?["'`]?[=:]++(?!//)(?:\\?["'`]([^"'`\\=]{%d,}+={0,2})(?=\\?["'`]|$)|((?:%s){%d,}+={0,2}))""" % (_NAME, _NAME, LEAST, _SIGNED, LEAST),
+    r"""(?<![A-Za-z0-9+/_\-.~@])([A-Za-z0-9+/_\-.~]{%d,}+={0,2})(?!@)""" % LEAST,
+])
+
 # Words beside a secret, words beside other identifiers, and words that mark placeholders and test data.
 SECRET_WORDS = "password passwd pwd secret token key apikey api_key access_key secret_key auth authorization bearer credential credentials private client_secret".split()
 OTHER_WORDS = "commit sha sha1 sha256 md5 checksum hash digest uuid guid id version phone tel fax card invoice order isbn build revision etag".split()
@@ -53,11 +64,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     def at(k: int) -> Column:
         return F.coalesce(F.lower(F.get("w", i + k)), F.lit(""))
 
+    # A name and its = or : may be words of their own.
+    ahead = F.when(at(-1).rlike("^[=:]+$"), F.concat(at(-2), at(-1))).otherwise(at(-1))
+    text = F.concat(F.regexp_extract(ahead, r"""%s{1,64}["'`]?[=:]+$""" % _NAME, 0), F.col("s.w"))
+    parts = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(INSIDE), F.lit(k)).alias(f"g{k}") for k in range(1, 6)])
+
+    def part(g: Column) -> Column:
+        name = F.when(g["g1"] != "", F.lit("password")).otherwise(F.regexp_replace(g["g2"], r"^[0-9.\-]+", ""))
+        return F.struct(name.alias("name"), F.regexp_replace(F.concat(*[g[f"g{k}"] for k in (1, 3, 4, 5)]), r"[.:?]+$", "").alias("value"))
+
+    whole = F.array(F.struct(F.regexp_extract("s.w", shape, 1).alias("name"), F.regexp_replace(F.regexp_extract("s.w", shape, 2), r"\.+$", "").alias("value")))
     cut = found.select(
-        "doc_id", "path", i.cast("long").alias("word"), F.lower(F.regexp_extract("s.w", shape, 1)).alias("name"),
-        F.regexp_replace(F.regexp_extract("s.w", shape, 2), r"\.+$", "").alias("value"),
+        "doc_id", "path", i.cast("long").alias("word"), F.explode(F.when(F.rlike("s.w", F.lit(shape)), whole).otherwise(F.transform(parts, part))).alias("c"),
         F.array(at(-2), at(-1)).alias("before"), F.array(at(1), at(2)).alias("after"),
-    )
+    ).select("doc_id", "path", "word", F.lower("c.name").alias("name"), "c.value", "before", "after")
     return cut.where((F.length("value") >= LEAST) & (F.rlike("value", F.lit("[0-9]")) | F.rlike("value", F.lit("^[A-Z]{16,}$"))))
 
 
