@@ -94,3 +94,17 @@ def test_odd_texts(text):
     model = T.ToxicModel(T.CharModel({"^^a": 3, "^a$": 3}), {"idiot$": 0.9}, 0.1)
     assert T.Scorer(model).score(text) == 0.1
     assert T.Scorer(model).score(text + " idiot ") == pytest.approx(0.9)
+
+
+def small_model():
+    counts = {}
+    for w in ("idiot", "stupid", "filthy", "fuck", "shit", "kill", "дурак"):
+        s = f"^^{w}$"
+        for i in range(len(s) - 2):
+            counts[s[i : i + 3]] = counts.get(s[i : i + 3], 0) + 30
+    return T.CharModel(counts)
+
+
+@pytest.mark.parametrize("text", ["- i d i o t", "? i d i o t", "i d i o t .", "i d i o t.", "a b , i d i o t", "* i d i o t", "( i d i o t )"])
+def test_letters_drawn_apart_beside_punctuation(text):
+    assert T.Scorer(T.ToxicModel(small_model(), {"idiot$": 0.9}, 0.1)).score(text) == pytest.approx(0.9)

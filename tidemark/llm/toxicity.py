@@ -59,6 +59,7 @@ LETTERS = "a-zß-öø-ž"
 SIGNS = re.escape("".join(LEET))
 _WORD = re.compile(f"[{LETTERS}]+")
 _RUN = re.compile(f"[{LETTERS}{SIGNS}]+")
+_SINGLE = re.compile(rf"[^\w{SIGNS}]*([{LETTERS}{SIGNS}])(?:[^\w{SIGNS}]|[!*+|(])*")
 _APART = re.compile(r"[.\-_~,/*]+")
 _THRICE = re.compile(r"(.)\1\1")
 _PAIRS = re.compile(r"(?:(.)\1){3}")
@@ -163,16 +164,24 @@ def features(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in BEGINNINGS if len(word) > n)]
 
 
+def bare(chunk: str) -> str:
+    """A chunk that is one letter but for other signs around it, as that letter."""
+    if 1 < len(chunk) <= 8 and not chunk.isalpha() and (found := _SINGLE.fullmatch(chunk)):
+        return found[1]
+    return chunk
+
+
 def drawn_apart(chunks: list[str]) -> Iterator[str]:
-    """Runs of three or more chunks of one letter or sign each, joined."""
+    """Runs of three or more chunks of one letter or sign each, joined, but for punctuation around and between them."""
+    chunks = [bare(c) for c in chunks]
     singles = [i for i, c in enumerate(chunks) if len(c) == 1]
     for _, group in groupby(enumerate(singles), key=lambda x: x[1] - x[0]):
         at = [i for _, i in group]
         if len(at) >= 3:
-            run = "".join(chunks[i] for i in at)
-            for start in range(0, len(run), 60):
-                if _RUN.fullmatch(part := run[max(0, start - 20) : start + 60]):
-                    yield part
+            for run in _RUN.findall("".join(chunks[i] for i in at)):
+                for form in dict.fromkeys((run, run.strip("!*+|("))):
+                    if len(form) >= 3:
+                        yield from (form[max(0, start - 20) : start + 60] for start in range(0, len(form), 60))
 
 
 def seen_features(text: str, model: CharModel) -> dict[str, str]:
