@@ -108,3 +108,9 @@ def small_model():
 @pytest.mark.parametrize("text", ["- i d i o t", "? i d i o t", "i d i o t .", "i d i o t.", "a b , i d i o t", "* i d i o t", "( i d i o t )"])
 def test_letters_drawn_apart_beside_punctuation(text):
     assert T.Scorer(T.ToxicModel(small_model(), {"idiot$": 0.9}, 0.1)).score(text) == pytest.approx(0.9)
+
+
+@pytest.mark.parametrize("word", ["idi" + "o" * 50 + "t", "1d1075", "!d!0+", ".".join("idiotidiot" * 7), "4a" * 30 + "idiot"])
+def test_long_disguises(word):
+    assert any("idiot" in w for w in T.words_in(word, small_model()))
+    assert T.words_in("1234567", small_model()) == T.words_in("*" * 500, small_model()) == set()

@@ -55,6 +55,8 @@ LEET = {
 REPLACED, SINGLED, DOUBLED, BROKEN = 1.0, 1.0, 0.5, 2.0
 #: Readings of a disguised run that count: the likeliest, and others that end differently.
 READINGS = 6
+#: Places of a lattice that are decoded at once.
+PLACES = 40
 LETTERS = "a-zß-öø-ž"
 SIGNS = re.escape("".join(LEET))
 _WORD = re.compile(f"[{LETTERS}]+")
@@ -134,10 +136,21 @@ def lattice(run: str, apart: bool = False) -> list[list[tuple[str, float]]]:
 
 
 def disguised(run: str) -> bool:
-    letters = sum(c not in LEET for c in run)
-    if not 3 <= len(run) <= 40 or not letters:
+    """Whether a run may stand for another word: signs among letters or for all of them, or repeats. Numbers and lines of one sign may not."""
+    if len(run) < 3:
         return False
-    return letters < len(run) <= 20 and 3 * letters >= len(run) - 2 or bool(_THRICE.search(run)) or bool(_PAIRS.search(run))
+    letters, signs = sum(c not in LEET for c in run), sum(c in LEET and not c.isdigit() for c in run)
+    if not letters and (not signs or len(set(run)) < 2):
+        return False
+    return letters < len(run) or bool(_THRICE.search(run)) or bool(_PAIRS.search(run))
+
+
+def decoded(run: str, model: CharModel) -> set[str]:
+    """Readings of a run; of one with over PLACES places those of windows that overlap by half."""
+    places = lattice(run)
+    if len(places) <= PLACES:
+        return set(model.readings(places))
+    return {w for at in range(0, len(places) - PLACES // 2, PLACES // 2) for w in model.readings(places[at : at + PLACES])}
 
 
 def words_in(chunk: str, model: CharModel) -> set[str]:
@@ -146,12 +159,13 @@ def words_in(chunk: str, model: CharModel) -> set[str]:
     for run in _RUN.findall(chunk):
         run = run.rstrip("!*+|(")
         if disguised(run):
-            words.update(model.readings(lattice(run)))
+            words |= decoded(run, model)
     if len(chunk) > 4:
         parts = _APART.split(chunk)
         singles = [p for p in parts if p]
-        if len(singles) >= 3 and all(len(p) == 1 for p in singles) and len(singles) <= 60:
-            words.update(joined("".join(singles), model))
+        if len(singles) >= 3 and all(len(p) == 1 for p in singles):
+            for run in drawn_apart(singles):
+                words |= joined(run, model)
     return words
 
 
