@@ -114,3 +114,8 @@ def test_letters_drawn_apart_beside_punctuation(text):
 def test_long_disguises(word):
     assert any("idiot" in w for w in T.words_in(word, small_model()))
     assert T.words_in("1234567", small_model()) == T.words_in("*" * 500, small_model()) == set()
+
+
+@pytest.mark.parametrize(("word", "meant"), [("sh!+", "shit"), ("ki||", "kill"), ("f**k", "fuck"), ("f***", "fuck"), ("f11thy", "filthy"), ("$tupid!!", "stupid")])
+def test_signs_at_the_end_and_repeated(word, meant):
+    assert meant in T.words_in(word, small_model())

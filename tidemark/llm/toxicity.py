@@ -50,6 +50,7 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
+AMBIGUOUS = "".join(c for c, letters in LEET.items() if len(letters) > 1)
 #: Costs, as natural logarithms: of one replaced letter, of two equal letters read as one, of more read as two, and of a word
 #: break among letters drawn apart.
 REPLACED, SINGLED, DOUBLED, BROKEN = 1.0, 1.0, 0.5, 2.0
@@ -64,6 +65,7 @@ _RUN = re.compile(f"[{LETTERS}{SIGNS}]+")
 _SINGLE = re.compile(rf"[^\w{SIGNS}]*([{LETTERS}{SIGNS}])(?:[^\w{SIGNS}]|[!*+|(])*")
 _APART = re.compile(r"[.\-_~,/*]+")
 _THRICE = re.compile(r"(.)\1\1")
+_TWICE = re.compile(rf"([{re.escape(AMBIGUOUS)}])\1")
 _PAIRS = re.compile(r"(?:(.)\1){3}")
 
 
@@ -119,12 +121,16 @@ class CharModel:
         return [said for _, said in ends[:most]]
 
 
-def lattice(run: str, apart: bool = False) -> list[list[tuple[str, float]]]:
-    """Places of a run of letters and signs. Repeats become one place, which may keep two; letters drawn apart may hold word breaks."""
+def lattice(run: str, apart: bool = False, spread: bool = False) -> list[list[tuple[str, float]]]:
+    """Places of a run of letters and signs. Repeats become one place, which may keep two; letters drawn apart may hold word breaks.
+    With ``spread``, repeats of a sign that may be several letters are places of their own."""
     places = []
     for n, (c, same) in enumerate(groupby(run)):
         options = [(c, 0.0)] if c not in LEET else [(x, REPLACED) for x in LEET[c]]
         times = len(list(same))
+        if spread and c in AMBIGUOUS:
+            places += [options] * times
+            continue
         if times == 2:
             options = [(x * 2, cost) for x, cost in options] + [(x, cost + SINGLED) for x, cost in options]
         elif times > 2:
@@ -147,19 +153,20 @@ def disguised(run: str) -> bool:
 
 def decoded(run: str, model: CharModel) -> set[str]:
     """Readings of a run; of one with over PLACES places those of windows that overlap by half."""
-    places = lattice(run)
-    if len(places) <= PLACES:
-        return set(model.readings(places))
-    return {w for at in range(0, len(places) - PLACES // 2, PLACES // 2) for w in model.readings(places[at : at + PLACES])}
+    out: set[str] = set()
+    for places in [lattice(run), lattice(run, spread=True)][: 2 if _TWICE.search(run) else 1]:
+        for at in range(0, max(1, len(places) - PLACES // 2), PLACES // 2) if len(places) > PLACES else [0]:
+            out.update(model.readings(places[at : at + PLACES]))
+    return out
 
 
 def words_in(chunk: str, model: CharModel) -> set[str]:
     """Words of a chunk without blanks, as they stand and as they are restored."""
     words = set(_WORD.findall(chunk))
     for run in _RUN.findall(chunk):
-        run = run.rstrip("!*+|(")
-        if disguised(run):
-            words |= decoded(run, model)
+        for form in {run, run.rstrip("!*+|(")}:
+            if disguised(form):
+                words |= decoded(form, model)
     if len(chunk) > 4:
         parts = _APART.split(chunk)
         singles = [p for p in parts if p]
