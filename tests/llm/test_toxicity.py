@@ -119,3 +119,9 @@ def test_long_disguises(word):
 @pytest.mark.parametrize(("word", "meant"), [("sh!+", "shit"), ("ki||", "kill"), ("f**k", "fuck"), ("f***", "fuck"), ("f11thy", "filthy"), ("$tupid!!", "stupid")])
 def test_signs_at_the_end_and_repeated(word, meant):
     assert meant in T.words_in(word, small_model())
+
+
+@pytest.mark.parametrize("text", ["он дурак, да", "д у р а к", "дураааак", "ДУРАК"])
+def test_other_scripts(text):
+    assert T.Scorer(T.ToxicModel(small_model(), {"дурак$": 0.9}, 0.1)).score(text) == pytest.approx(0.9)
+    assert T.words_in("हिन्दी", small_model()) == {"हिन्दी"} and "你好" in T.words_in("你好。", small_model())

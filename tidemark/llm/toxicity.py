@@ -58,11 +58,14 @@ REPLACED, SINGLED, DOUBLED, BROKEN = 1.0, 1.0, 0.5, 2.0
 READINGS = 6
 #: Places of a lattice that are decoded at once.
 PLACES = 40
-LETTERS = "a-zß-öø-ž"
+#: Trigrams that the language model keeps at most, the commonest; words are features whether it knows them or not.
+TRIGRAMS = 200_000
 SIGNS = re.escape("".join(LEET))
-_WORD = re.compile(f"[{LETTERS}]+")
-_RUN = re.compile(f"[{LETTERS}{SIGNS}]+")
-_SINGLE = re.compile(rf"[^\w{SIGNS}]*([{LETTERS}{SIGNS}])(?:[^\w{SIGNS}]|[!*+|(])*")
+# Letters of any script; marks that follow them and that \w leaves out belong to the word.
+_MARKS = "\u0300-\u036f\u0483-\u0487\u0591-\u05c7\u0610-\u061a\u064b-\u065f\u0900-\u0903\u093a-\u094f\u0980-\u0983\u09bc-\u09cd\u0b82\u0bbe-\u0bcd\u0e31\u0e34-\u0e4e"
+_WORD = re.compile(rf"[^\W\d_]+(?:[{_MARKS}]+[^\W\d_]*)*")
+_RUN = re.compile(rf"(?:[^\W\d_]+|[{SIGNS}]+)+")
+_SINGLE = re.compile(rf"[^\w{SIGNS}]*([^\W\d_]|[{SIGNS}])(?:[^\w{SIGNS}]|[!*+|(])*")
 _APART = re.compile(r"[.\-_~,/*]+")
 _THRICE = re.compile(r"(.)\1\1")
 _TWICE = re.compile(rf"([{re.escape(AMBIGUOUS)}])\1")
@@ -245,8 +248,8 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def char_model(docs: DataFrame) -> CharModel:
-    """Counts over all documents. LETTERS bounds what can be counted: 165 letters, and in practice some ten thousand trigrams."""
-    sums = docs.select("text").mapInArrow(tidy(_count_trigrams), "t string, n long").groupBy("t").agg(F.sum("n"))
+    """Counts over all documents. Alphabets have some ten thousand trigrams each; TRIGRAMS bounds those of scripts with more signs."""
+    sums = docs.select("text").mapInArrow(tidy(_count_trigrams), "t string, n long").groupBy("t").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "t").limit(TRIGRAMS)
     return CharModel({t: n for t, n in sums.collect()})
 
 
