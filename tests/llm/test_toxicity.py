@@ -1,4 +1,6 @@
+import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +127,67 @@ def test_signs_at_the_end_and_repeated(word, meant):
 def test_other_scripts(text):
     assert T.Scorer(T.ToxicModel(small_model(), {"дурак$": 0.9}, 0.1)).score(text) == pytest.approx(0.9)
     assert T.words_in("हिन्दी", small_model()) == {"हिन्दी"} and "你好" in T.words_in("你好。", small_model())
+
+
+def test_trigrams_and_exact_decoding():
+    """Trigrams against a plain count, and Viterbi's readings against all ways through small lattices."""
+    rng = random.Random(4)
+    words = Counter({"".join(rng.choices("abcdeéж", k=rng.randint(1, 9))): rng.randint(1, 9) for _ in range(300)})
+    want = Counter()
+    for w, n in words.items():
+        for i in range(len(w) + 1):
+            want[f"^^{w}$"[i : i + 3]] += n
+    assert T.trigrams_of(words) == want
+    model = T.CharModel(dict(want))
+    for run in ("a*b", "**", "b**", "***", "a4!!", "é*ж", "aa*"):
+        for spread in (False, True):
+            places = T.lattice(run, spread=spread)
+            ends = {}
+            for way in itertools.product(*places):
+                said = "".join(x for x, _ in way)
+                s = f"^^{said}$"
+                cost = sum(c for _, c in way) + sum(model.cost(*s[i : i + 3]) for i in range(len(s) - 2))
+                ends.setdefault(s[-3:-1], []).append((cost, said))
+            best = sorted(min(e)[0] for e in ends.values())[: T.READINGS]
+            got = model.readings(places)
+            costs = []
+            for said in got:
+                options = [cost for e in ends.values() for cost, x in e if x == said]
+                costs.append(min(options))
+            assert costs == pytest.approx(best)
+
+
+def test_lattices_without_stems_are_passed_over_only_where_nothing_is_lost():
+    model, stems = small_model(), T.Stems(["idiot$", "stup", "fuck$"])
+    rng = random.Random(2)
+    for _ in range(3000):
+        run = "".join(rng.choices("idotsupfck1!*0$@4", k=rng.randint(3, 8)))
+        assert stems.hits(T.decoded(run, model)) == stems.hits(T.decoded(run, model, stems))
+    for chunk in ("the,", "idiot.", "(idiot)", "i.d.i.o.t", "stupid!", "on", "a", "idiooot", "x-ray", "?the"):
+        if stems.lack(chunk):
+            assert not stems.hits(T.words_in(chunk, model))
+    assert stems.lack("the,") and not stems.lack("idiot.")
+
+
+def test_levels_count_different_words(spark):
+    """A beginning that clean texts have once and toxic ones in several words is evidence from the second word on."""
+    rng = random.Random(6)
+    ends = ["ka", "lo", "mu", "pi", "ra", "so", "te", "vu"]
+    docs, labels = [], []
+    for i in range(1200):
+        ws = ["".join(rng.choices(["an", "the", "er", "in", "on"], k=rng.randint(1, 4))) for _ in range(rng.randint(5, 80))]
+        toxic = rng.random() < 0.15
+        for e in rng.sample(ends, 3) if toxic else rng.sample(ends, 1) * rng.randint(0, 3):
+            ws.insert(rng.randrange(len(ws)), "bomen" + e)
+        docs.append((i, " ".join(ws)))
+        labels.append((i, 1, int(toxic)))
+    frame, said = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = T.train(frame, said)
+    got = {r["doc_id"]: r["score"] for r in T.scored(frame, model).collect()}
+    assert all((got[i] >= 0.5) == bool(t) for i, _, t in labels) and any(f.endswith("+") for f in model.known)
+
+
+def test_very_long_text():
+    model = T.ToxicModel(small_model(), {"idiot$": 0.9}, 0.1)
+    assert T.Scorer(model).score("the lamp is good. " * 200_000 + "1d10t") == pytest.approx(0.9)
+    assert T.Scorer(model).score("*" * 2_000_000) == T.Scorer(model).score("a" * 2_000_000) == 0.1
