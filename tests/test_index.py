@@ -60,6 +60,31 @@ def test_insert_delete_insert(spark, catalog):
     assert catalog.open("docs").table().first()["title"] == "Second Version"
 
 
+@pytest.mark.parametrize("merge_deltas", [2, 16])
+def test_older_operations_that_come_later_change_nothing(spark, catalog, monkeypatch, merge_deltas):
+    """Batches in any order, with any merges between, come to what a replay in the order of snapshots leaves."""
+    import random
+
+    from tidemark.sources import index as I
+
+    monkeypatch.setattr(I, "MERGE_DELTAS", merge_deltas)
+    rng, index = random.Random(7), catalog.open("docs")
+    log = [(rng.choice(["ADD", "ADD", "DELETE"]), f"k{rng.randrange(8)}", {"title": [f"t{n}"]}, n // 4, n) for n in range(40)]
+    parts = [log[n : n + 5] for n in range(0, 40, 5)]
+    rng.shuffle(parts)
+    for n, part in enumerate(parts):
+        index.apply(spark.createDataFrame(part, "op string, _id string, doc map<string,array<string>>, _snapshot_id long, _seq long"), batch=n)
+    want = {}
+    for op, k, doc, _, _ in log:
+        want.pop(k, None) if op == "DELETE" else want.update({k: doc["title"][0]})
+    assert {r["_id"]: r["doc"]["title"][0] for r in index.documents().collect()} == want
+    index.delete(["k0"])
+    assert "k0" not in {r["_id"] for r in index.documents().collect()}
+    # Another source has an order of its own.
+    index.apply(spark.createDataFrame([("ADD", "k1", {"title": ["other"]}, 0, 0)], "op string, _id string, doc map<string,array<string>>, _snapshot_id long, _seq long"), source="b")
+    assert {r["_id"]: r["doc"]["title"][0] for r in index.documents().collect()}["k1"] == "other"
+
+
 def test_a_batch_is_applied_once(spark, catalog):
     ingest = Ingest(catalog, "docs")
     rows = spark.createDataFrame(SNAPSHOTS[0], LAKE)

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +76,59 @@ def test_poison_rows_go_to_quarantine(spark, tmp_path):
     assert [r["_error"] for r in spark.read.parquet(str(tmp_path / "q")).collect()] == ["title"]
 
 
+def test_a_batch_that_comes_again_counts_once(spark, tmp_path):
+    """Neither its rows that can't be converted nor its progress are there twice, whether it was published before or not."""
+    catalog = catalog_of(spark, tmp_path)
+    rows = spark.createDataFrame([("a", "good", "+I", 0, 1, 1), ("b", "bad", "+I", 1, 1, 2)], LAKE)
+    ingest = R.Ingest(catalog, "docs", error=lambda df: F.when(F.col("title") == "bad", "title"), quarantine_to=str(tmp_path / "q"))
+    ingest.changes(rows, catalog.open("docs"), 0, "lake")  # died before it was published
+    for _ in range(2):
+        assert ingest.apply_changes(rows, 0) == 1
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 1
+    assert ingest.progress.docs == 2 and ingest.progress.batches == 1 and ingest.progress.completed == {0, 1} and ingest.progress.remaining == 0
+    ingest.apply_changes(rows, 1)
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 2
+
+
+def test_a_failing_batch_is_tried_again(spark, tmp_path):
+    """Within the time limit a batch gets through by itself; beyond it the stream fails, commits nothing, and is started again."""
+    config, catalog = lake_of(tmp_path, **{"scan.interval.ms": 100}), catalog_of(spark, tmp_path)
+    put(spark, config, [("a", "one", "+I", 0, 1, 1)])
+    calls = []
+
+    class Shaky(R.Ingest):
+        def apply_changes(self, *args, **kw):
+            calls.append(1)
+            if len(calls) < 4:
+                raise OSError("not now")
+            return super().apply_changes(*args, **kw)
+
+    q = Shaky(catalog, "docs").start_lake(lake.stream_table(spark, config, "svc"), str(tmp_path / "c"), once=True, timeout_minutes=1)
+    q.awaitTermination()
+    assert len(calls) == 4 and catalog.open("docs").documents().count() == 1
+    calls.clear()
+    put(spark, config, [("b", "two", "+I", 0, 2, 2)])
+    runner = R.Runner(lambda: Shaky(catalog, "docs").start_lake(lake.stream_table(spark, config, "svc"), str(tmp_path / "c"), 100), delay=0.1)
+    runner.start()
+    for _ in range(300):
+        if catalog.open("docs").documents().count() == 2:
+            break
+        time.sleep(0.1)
+    assert runner.running and runner.restarts == 3
+    runner.stop()
+    assert not runner.running and catalog.open("docs").version == 2
+
+
+def test_follow_as_the_settings_say(spark, tmp_path):
+    config = lake_of(tmp_path, **{"scan.interval.ms": 100, "field.mapping": {"title": "name"}, "field.drop.prefixes": ["id_"]})
+    catalog = catalog_of(spark, tmp_path, Field("id", "_ID"), Field("name", "ATOM"))
+    put(spark, config, [("a", "one", "+I", 0, 1, 1)])
+    runner = R.follow(spark, catalog, config, "svc", str(tmp_path / "c"))
+    runner.start().processAllAvailable()
+    runner.stop()
+    assert [(r["id"], r["name"]) for r in catalog.open("docs").table().collect()] == [("a", "one")]
+
+
 def test_renamed_key(spark, tmp_path):
     catalog = catalog_of(spark, tmp_path, Field("key", "_ID"), Field("title", "TEXT"))
     ingest = R.Ingest(catalog, "docs", rename={"id": "key"})

@@ -103,7 +103,8 @@ def _required(key: str):
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """A changelog table as source, and the index it fills."""
+    """A changelog table as source, and the index it fills. Spark's own slots, batches and polls take the place of
+    ``worker.threads``, ``batch.size`` and ``poll.timeout.ms``: these are accepted and have no effect."""
 
     database: str = _required("database.name")
     table: str = _required("table.name")

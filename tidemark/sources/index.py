@@ -5,6 +5,10 @@ readers fold the deltas over the base. Deltas are merged into a new base when th
 MERGE_DELTAS, so a document is rewritten some few times in all. A version is published by one atomic rename of a small
 pointer file; readers follow the newest pointer, so they see a version whole or not at all. A pointer carries the ids of
 the batches that made it, and a batch that was published is not applied again.
+
+Operations of a source keep their order (snapshot and sequence number, say) with the document they leave, deletions too:
+an older operation that comes in a later batch changes nothing. Where another source wrote a document, or a write
+without an order, what comes later counts.
 """
 
 from __future__ import annotations
@@ -17,13 +21,28 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.changelog import ADD, DELETE, appended, fold, upsert
+from ..operators.changelog import ADD, DELETE, appended, fold
 from ..plans.document import DOC_TYPE
 
 TYPES = ("_ID", "ATOM", "TEXT", "DOUBLE")
 MERGE_SHARE, MERGE_DELTAS = 0.5, 16
-DOCS = "_id string, doc map<string,array<string>>"
+#: Rows of bases and deltas; ``at`` is null where a write had no order, and a row whose ``op`` is a deletion says that the id is gone.
+ROWS = "op string, _id string, doc map<string,array<string>>, at array<bigint>, source string"
+
+
+#: Kinds of deltas without an order: by id, and without ids.
+MERGE, APPEND = "merge", "append"
+
+
+def _number(c: Column, kind: T.DataType) -> Column:
+    """A column of an order as a number that compares alike."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if not isinstance(kind, (T.IntegralType, T.DateType)):
+        raise ValueError(f"operations are ordered by whole numbers or times, not by {kind.simpleString()}")
+    return F.unix_date(c).cast("bigint") if isinstance(kind, T.DateType) else c.cast("bigint")
 
 
 class MissingIndex(RuntimeError):
@@ -149,43 +168,50 @@ class IndexTable:
             return {"applied": {}, "base": None, "deltas": []}
         return json.loads(self.catalog._read(self.catalog._path(self.name, f"current-{version}.json")))
 
-    def _read(self, path: str | None, schema: str = DOCS) -> DataFrame:
-        reader = self.spark.read.schema(schema)
-        return reader.parquet(f"{self.catalog.root}/{self.name}/{path}") if path else self.spark.createDataFrame([], schema)
+    def _read(self, path: str | None) -> DataFrame:
+        reader = self.spark.read.schema(ROWS)
+        return reader.parquet(f"{self.catalog.root}/{self.name}/{path}") if path else self.spark.createDataFrame([], ROWS)
 
     def _bytes(self, path: str | None) -> int:
         return self.catalog._fs.getContentSummary(self.catalog._path(self.name, path)).getLength() if path else 0
 
     def _folded(self, pointer: Mapping) -> DataFrame:
-        """The documents of a version. Neighbouring merges are folded into one, so the base is joined once for all of them."""
-        state, run = self._read(pointer["base"]), []
+        """The rows of a version. Neighbouring deltas of one kind are folded into one, so the base is joined once for all of them."""
+        state, run, now = self._read(pointer["base"]), [], None
 
         def applied(state: DataFrame) -> DataFrame:
             if not run:
                 return state
-            rows = appended(*[self._read(path, f"op string, {DOCS}").withColumn("_v", F.lit(v)) for v, path in run])
-            last = (fold(rows, "_id", ("_v",)) if len(run) > 1 else rows).drop("_v")
+            rows = appended(*[self._read(path).withColumn("_v", F.lit(v)) for v, path in run])
+            last = (fold(rows, "_id", ("_v",) if now == MERGE else ("at", "_v")) if len(run) > 1 else rows).drop("_v")
             run.clear()
-            return upsert(state, last, "_id")
+            if now != MERGE:
+                newer = state.where(F.col("at").isNotNull()).select("_id", F.col("at").alias("_at"), F.col("source").alias("_source"))
+                last = last.join(newer.join(last.select("_id"), "_id", "left_semi"), "_id", "left").where("_at is null or _source <> source or _at <= at").select(*state.columns)
+            return state.join(last.select("_id"), "_id", "left_anti").unionByName(last)
 
         for v, (kind, path) in enumerate(pointer["deltas"]):
-            if kind == "merge":
-                run.append((v, path))
+            if kind != now:
+                state, now = applied(state), kind
+            if kind == APPEND:
+                state = state.unionByName(self._read(path))
             else:
-                state = applied(state).unionByName(self._read(path, f"op string, {DOCS}").drop("op"))
+                run.append((v, path))
         return applied(state)
 
     def documents(self) -> DataFrame:
         """_id and doc of all live documents."""
-        return self._folded(self._pointer(self.version))
+        return self._folded(self._pointer(self.version)).where(F.col("op") == ADD).select("_id", "doc")
 
     def table(self) -> DataFrame:
         return self.schema.typed(self.documents())
 
     def _publish(self, delta: DataFrame, kind: str, version: int, batch: int | None = None, source: str = "") -> int:
-        """Writes a delta (op, _id, doc) and makes it the newest version. Another writer that was faster makes the rename fail, and nothing is lost."""
+        """Writes a delta (op, _id, doc, at) and makes it the newest version. Another writer that was faster makes the rename fail, and nothing is lost."""
         pointer, path = self._pointer(version), f"delta-{version + 1}-{uuid.uuid4().hex}"
-        delta.select("op", "_id", F.col("doc").cast(DOC_TYPE).alias("doc")).write.parquet(f"{self.catalog.root}/{self.name}/{path}")
+        at = F.col("at") if "at" in delta.columns else F.lit(None).cast("array<bigint>")
+        rows = delta.select("op", "_id", F.col("doc").cast(DOC_TYPE).alias("doc"), at.alias("at"), F.lit(source).alias("source"))
+        rows.write.parquet(f"{self.catalog.root}/{self.name}/{path}")
         applied = pointer["applied"] | ({source: batch} if batch is not None else {})
         made = {"applied": applied, "base": pointer["base"], "deltas": [*pointer["deltas"], (kind, path)]}
         grown = sum(self._bytes(p) for _, p in made["deltas"])
@@ -207,24 +233,26 @@ class IndexTable:
         return batch is not None and self._pointer(self.version)["applied"].get(source, -1) >= batch
 
     def apply(self, ops: DataFrame, order: Sequence[str] = ("_snapshot_id", "_seq"), batch: int | None = None, source: str = "default") -> int:
-        """Applies operations (op, _id, doc and the order's columns): the last of each id counts. Returns the version."""
+        """Applies operations (op, _id, doc and the order's columns): of each id the last counts, of all that the source has sent. Returns the version."""
         version = self.version
         if self.applied(batch, source):
             return version
-        return self._publish(fold(ops.select("op", "_id", "doc", *order), "_id", order), "merge", version, batch, source)
+        last = fold(ops.select("op", "_id", "doc", *order), "_id", order)
+        at = F.array(*[_number(F.col(c), last.schema[c].dataType) for c in order])
+        return self._publish(last.withColumn("at", at), f"ordered {source}", version, batch, source)
 
     def append(self, docs: DataFrame, batch: int | None = None, source: str = "default") -> int:
         """Adds documents as they come: without an _ID field, documents that repeat stay."""
         version = self.version
         if self.applied(batch, source):
             return version
-        return self._publish(docs.withColumn("op", F.lit(ADD)), "append", version, batch, source)
+        return self._publish(docs.withColumn("op", F.lit(ADD)), APPEND, version, batch, source)
 
     def add(self, docs: DataFrame) -> int:
         """Adds or, by _id, replaces documents of which each id occurs once."""
         if self.schema.id_field is None:
             return self.append(docs)
-        return self._publish(docs.withColumn("op", F.lit(ADD)), "merge", self.version)
+        return self._publish(docs.withColumn("op", F.lit(ADD)), MERGE, self.version)
 
     def delete(self, ids: DataFrame | Sequence[str]) -> int:
         """Deletes the documents with these ids; an empty list is an error."""
@@ -232,7 +260,7 @@ class IndexTable:
             if not ids:
                 raise ValueError("a delete needs at least one id")
             ids = self.spark.createDataFrame([(str(i),) for i in ids], "_id string")
-        return self._publish(ids.select("_id", F.lit(DELETE).alias("op"), F.lit(None).alias("doc")).distinct(), "merge", self.version)
+        return self._publish(ids.select("_id", F.lit(DELETE).alias("op"), F.lit(None).alias("doc")).distinct(), MERGE, self.version)
 
     def expire(self, keep: int = 2) -> None:
         """Deletes all but the newest versions, and files that these don't name."""
