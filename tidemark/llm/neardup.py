@@ -2,43 +2,62 @@
 
 Texts become sets of distinct five-word shingles. Texts with equal sets are one node, so copies never meet in pairs.
 Each node has a label in each of TREES prefix trees: DEPTH minima of its shingles under as many hash functions, a byte
-each, so that a prefix of a label is a path from a tree's root and sorting labels lays out the tree. Nodes with a long
-common prefix are alike; starting from whole labels, prefixes are shortened until two texts at the threshold share one
-in some tree with probability TARGET. Nodes that share a prefix in any tree form a cluster (components of the links
-node - least node of its prefix, never all pairs). Within a cluster all nodes are compared exactly, block by block:
-a task has two blocks of a cluster and gives back each node's links and a spanning forest of the verified links, so
-what leaves a task grows with its nodes and not with its pairs, and no cluster has to fit into one task.
+each, so that a prefix of a label is a path from a tree's root and sorted labels are the tree: nodes below a path stand
+side by side. A tree is cut into buckets, each all nodes below one path, and nodes that share a bucket are candidates:
+
+* Labels that no other label of the tree shares SHALLOW bytes with have no candidates there and are put away.
+* From whole labels, prefixes are shortened as long as not more than FEW nodes share them, down to SHALLOW bytes. So a
+  sparse part of a tree is searched widely and a dense one closely.
+* A node whose prefixes are then so long that a text at the threshold would share a bucket with it in some tree with a
+  probability below TARGET has its long ones shortened on, with those of all nodes below the same path, to the depth
+  that reaches TARGET in every tree.
+
+Candidates are compared exactly, in units of a bucket; of buckets with the same nodes one is kept. Where a connected
+group of buckets holds no more pairs of nodes than its buckets together, it is one unit, so a set of shingles is read
+once for it. So never more pairs are compared than the buckets hold, and a long chain of texts, each like the next
+alone, costs what its buckets cost. Units of many nodes are compared block by block: a task has two blocks of a unit and
+gives back each node's links and a spanning forest of the verified links, so what leaves a task grows with its nodes and
+not with its pairs, and no unit has to fit into one task. A pair that shares several buckets counts in the first.
 
 Defined results: null and empty texts, and texts without words, have no shingles and count as alike; texts of fewer
-than five words have one shingle of all their words; each row is a document, so rows that repeat link to each other; a
-class is named by its least doc_id (null only if all are null); further columns are not read by the join and kept by
+than five words have one shingle of all their words, and texts of any length are read whole; each row is a document, so
+rows that repeat link to each other; a class is named by its least doc_id (null only if all are null), and of equal ones
+any row stands for it; an empty table gives no rows; further columns are not read by the join and kept by
 ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SQL_WORDS, narrow, saved, small_batches, table, text_batches, tidy, words_of
+from .common import SQL_WORDS, narrow, saved, shuffle_width, small_batches, table, text_batches, tidy, words_of
 from .components import components
 from .fingerprint import WordHashes, shingle_hashes
 
 THRESHOLD, SHINGLE = 0.8, 5
 TREES, DEPTH, TARGET = 20, 8, 0.995
-#: Nodes, and shingles, that a block of a cluster has on average at most.
+#: Bytes of the shortest prefixes, and nodes that may share a prefix for it to be shortened further.
+SHALLOW, FEW = 5, 64
+#: Nodes, and shingles, that a block of a unit has on average at most.
 BLOCK_NODES, BLOCK_SHINGLES = 256, 400_000
 ROWS = 500
 
 
+def meeting(depths: list[int], threshold: float = THRESHOLD) -> float:
+    """Probability that two texts at the threshold share a prefix of these lengths, one for each tree, in some tree."""
+    return 1 - math.prod(1 - threshold**d for d in depths)
+
+
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = TARGET) -> int:
-    """Whole labels shortened until texts at the threshold share a prefix in some tree with probability ``target``."""
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
+    """The longest prefix that reaches ``target`` when all trees are cut at it."""
+    while depth > 1 and meeting([depth] * trees, threshold) < target:
         depth -= 1
     return depth
 
@@ -90,19 +109,68 @@ def signatures(docs: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataF
     return docs.select("key", "doc_id", "text").mapInArrow(tidy(sign), "key string, doc_id long, node binary, labels array<long>")
 
 
-def clusters(nodes: DataFrame, depth: int) -> DataFrame:
-    """node, cluster: nodes that share a prefix of ``depth`` with another, directly or through others."""
-    shift = 64 - 8 * depth
-    each = nodes.select("node", F.posexplode("labels").alias("tree", "label")).select("node", "tree", F.shiftrightunsigned("label", shift).alias("prefix"))
-    hubs = each.groupBy("tree", "prefix").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    links = each.join(hubs, ["tree", "prefix"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    found = components(links)
-    least = found.select("b").distinct()
-    return found.select(F.col("a").alias("node"), F.col("b").alias("cluster")).unionByName(least.select(F.col("b").alias("node"), F.col("b").alias("cluster")))
+def _path(label: Column, depth: int) -> Column:
+    """The first ``depth`` bytes of a label."""
+    return F.shiftrightunsigned(label, 64 - 8 * depth)
+
+
+def buckets(nodes: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, target: float = TARGET, few: int = FEW) -> DataFrame:
+    """node, tree, depth, path: the buckets that nodes(node, labels) share with others, cut out of the trees as said above."""
+    goal = prefix_depth(threshold, trees, DEPTH, target)
+    shallow = min(SHALLOW, goal)
+    each = nodes.select("node", F.posexplode("labels").alias("tree", "label")).withColumn("top", _path(F.col("label"), shallow))
+    met = each.groupBy("tree", "top").agg(F.count("*").alias(f"n{shallow}")).where(f"n{shallow} > 1")
+    # Sorted: a tree's labels in order, ranges of them in files. Equal labels are split by node.
+    laid = saved(each.join(met, ["tree", "top"]).drop("top").repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node"), "forest")
+    for d in range(shallow + 1, DEPTH):
+        run = saved(laid.groupBy("tree", _path(F.col("label"), d).alias("run")).agg(F.count("*").alias(f"n{d}")), "forest-runs")
+        laid = laid.withColumn("run", _path(F.col("label"), d)).join(run, ["tree", "run"]).drop("run")
+    depth = F.lit(DEPTH)
+    for d in range(DEPTH - 1, shallow - 1, -1):
+        depth = F.when(F.col(f"n{d}") <= few, d).otherwise(depth)
+    cut = saved(laid.select("node", "tree", "label", depth.cast("int").alias("depth")), "forest-cut")
+    # A tree where a node has been put away is one that was searched for it at the shallowest depth.
+    unmet = F.lit(trees) - F.count("*")
+    missed = F.sum(F.log(1 - F.pow(F.lit(threshold), F.col("depth")))) + unmet * math.log(1 - threshold**shallow)
+    needy = cut.groupBy("node").agg(missed.alias("missed"), F.max("depth").alias("longest"))
+    needy = saved(needy.where((F.col("missed") > math.log(1 - target)) & (F.col("longest") > goal)).select("node"), "forest-needy")
+    if not needy.isEmpty():
+        long = cut.where(F.col("depth") > goal).withColumn("run", _path(F.col("label"), goal))
+        widened = saved(long.join(needy, "node", "left_semi").select("tree", "run").distinct(), "forest-widened").withColumn("wide", F.lit(True))
+        joined = cut.withColumn("run", F.when(F.col("depth") > goal, _path(F.col("label"), goal))).join(widened, ["tree", "run"], "left")
+        cut = joined.select("node", "tree", "label", F.when(F.col("wide"), goal).otherwise(F.col("depth")).alias("depth"))
+    path = F.lit(0).cast("long")
+    for d in range(shallow, DEPTH + 1):
+        path = F.when(F.col("depth") == d, _path(F.col("label"), d)).otherwise(path)
+    return cut.select("node", "tree", "depth", path.alias("path"))
+
+
+def units(nodes: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, target: float = TARGET) -> DataFrame:
+    """node, units, homes: the units that a node is compared in, and its buckets by tree (0: none), null where it has a whole group for its unit."""
+    key = ["tree", "depth", "path"]
+    held = saved(buckets(nodes, threshold, trees, target), "buckets")
+    members = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+    runs = held.groupBy(*key).agg(F.count("*").alias("n"), F.min("node").alias("hub"), members.alias("who")).where("n > 1")
+    # Of buckets with the same nodes that of the first tree is kept.
+    first = runs.groupBy("n", "hub", "who").agg(F.min(F.struct(*key)).alias("k"))
+    kept = saved(first.select("k.*", "n", "hub", F.xxhash64("k.tree", "k.depth", "k.path").alias("bucket")), "bucket-runs")
+    held = saved(held.join(kept, key).select("node", "tree", "bucket", "hub"), "bucket-nodes")
+    found = components(held.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    least = found.select(F.col("b").alias("node"), F.col("b").alias("cluster")).distinct()
+    cluster = saved(found.select(F.col("a").alias("node"), F.col("b").alias("cluster")).unionByName(least), "clusters")
+    sizes = cluster.groupBy("cluster").agg(F.count("*").cast("double").alias("nodes"))
+    inside = kept.join(cluster, kept["hub"] == cluster["node"]).groupBy("cluster").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+    dense = saved(sizes.join(inside, "cluster").select("cluster", (F.col("nodes") * F.col("nodes") <= F.col("pairs")).alias("dense")), "cluster-sizes")
+    placed = saved(cluster.join(dense, "cluster"), "placed")
+    whole = placed.where("dense").select("node", F.array(F.xxhash64("cluster")).alias("units"), F.lit(None).cast("array<long>").alias("homes"))
+    by_tree = F.map_from_entries(F.collect_list(F.struct("tree", "bucket")))  # a bucket a tree at most
+    apart = held.join(placed.where("not dense").select("node"), "node").groupBy("node").agg(F.collect_list("bucket").alias("units"), by_tree.alias("by_tree"))
+    homes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.coalesce(F.try_element_at("by_tree", t), F.lit(0).cast("long")))
+    return saved(whole.unionByName(apart.select("node", "units", homes.alias("homes"))), "units")
 
 
 def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """cluster, node, copies, shingles of each node, taken from one document of it."""
+    """``members`` (rep, node, copies, units, homes) with the shingles of each node, taken from one document of it."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -113,13 +181,12 @@ def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                 if node_of(s) == node:  # equal keys may stand for other texts
                     keep.append(i)
                     sets.append(s.astype(np.int64))
-            picked = batch.select(["cluster", "node", "copies"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(sets, pa.list_(pa.int64()))], names=["cluster", "node", "copies", "shingles"])
+            picked = batch.select(names).take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(sets, pa.list_(pa.int64()))], names=[*names, "shingles"])
 
-    wanted = members.select("cluster", "node", "copies", F.col("rep").alias("key"))
-    found = docs.select("key", "text").join(narrow(wanted), "key").select("cluster", "node", "copies", "text")
-    sets = found.mapInArrow(tidy(spell), "cluster binary, node binary, copies long, shingles array<long>")
-    return saved(sets, "shingle-sets")
+    names = ["node", "copies", "units", "homes"]
+    found = docs.select("key", "text").join(narrow(members.select(F.col("rep").alias("key"), *names)), "key").select(*names, "text")
+    return saved(found.mapInArrow(tidy(spell), "node binary, copies long, units array<long>, homes array<long>, shingles array<long>"), "shingle-sets")
 
 
 def similar_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float) -> np.ndarray:
@@ -181,24 +248,36 @@ def _forest(alike: np.ndarray, square: bool) -> list[tuple[int, int]]:
     return out
 
 
+def earlier(left: np.ndarray, right: np.ndarray, unit: int) -> np.ndarray:
+    """Which pairs share a bucket of an earlier tree than that of ``unit``, from the nodes' buckets by tree (0: none)."""
+    tree = int(np.flatnonzero(left[0] == unit)[0])
+    out = np.zeros((len(left), len(right)), bool)
+    for t in range(tree):
+        out |= (left[:, t, None] == right[None, :, t]) & (left[:, t, None] != 0)
+    return out
+
+
 def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b, texts, docs: for each node (b null) its links to other nodes and to their documents, in parts; and a spanning forest of all links."""
-    whole = sets.groupBy("cluster").agg(F.count("*").alias("nodes"), F.sum(F.size("shingles")).alias("total"))
+    sizes = sets.select(F.explode("units").alias("unit"), F.size("shingles").alias("size")).groupBy("unit").agg(F.count("*").alias("nodes"), F.sum("size").alias("total"))
     blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    whole = saved(whole.where("nodes > 1").select("cluster", blocks.alias("blocks")), "clusters")
-    sized = sets.join(narrow(whole), "cluster")
+    large = saved(sizes.select("unit", blocks.alias("blocks")).where("blocks > 1"), "unit-blocks")
+    held = sets.withColumn("unit", F.explode("units")).drop("units").join(narrow(large), "unit", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # A block meets itself and every other once: task (i, j) with i <= j.
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = sized.withColumn("own", own).select("cluster", "node", "copies", "shingles", "own", F.explode(others).alias("other"))
+    dealt = held.withColumn("own", own).select("unit", "node", "copies", "homes", "shingles", "own", F.explode(others).alias("other"))
     dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("texts", pa.int64()), ("docs", pa.int64())])
 
-    def compare(members: dict[int, list[tuple]], i: int, j: int) -> pa.RecordBatch:
+    def compare(members: dict[int, list[tuple]], unit: int, i: int, j: int) -> pa.RecordBatch:
         left, right = members.get(i, []), members.get(j, []) if i != j else None
         rows: list[tuple] = []
         if left and (right is None or right):
             alike = similar_pairs([m[2] for m in left], None if right is None else [m[2] for m in right], threshold)
+            if left[0][3] is not None and alike.any():
+                mine = np.array([m[3] for m in left])
+                alike &= ~earlier(mine, mine if right is None else np.array([m[3] for m in right]), unit)
             both = left + (right or [])
             copies = np.array([m[1] for m in both], np.int64)
             theirs = copies if right is None else copies[len(left) :]
@@ -215,21 +294,23 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, members = None, {}
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "own", "node", "copies")]
+            columns = [batch.column(c).to_pylist() for c in ("unit", "i", "j", "own", "node", "copies", "homes")]
             shingles = batch.column("shingles")
-            for row, (cluster, i, j, block, node, copies) in enumerate(zip(*columns, strict=True)):
-                if (cluster, i, j) != now:
+            for row, (unit, i, j, part, node, copies, homes) in enumerate(zip(*columns, strict=True)):
+                if (unit, i, j) != now:
                     if now:
-                        yield compare(members, *now[1:])
-                    now, members = (cluster, i, j), {}
-                held = members.setdefault(block, [])
-                if not held or held[-1][0] != node:  # repeated rows have given a node twice
-                    held.append((node, copies, shingles[row].values.to_numpy()))
+                        yield compare(members, *now)
+                    now, members = (unit, i, j), {}
+                of = members.setdefault(part, [])
+                if not of or of[-1][0] != node:  # repeated rows have given a node twice
+                    of.append((node, copies, shingles[row].values.to_numpy(), homes))
         if now:
-            yield compare(members, *now[1:])
+            yield compare(members, *now)
 
-    # Equal (cluster, i, j) stand together in a partition and in order, so a task holds one pair of blocks at a time.
-    grouped = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "own", "node")
+    # Pairs of blocks of one unit go to tasks in turn, so that a large unit is spread evenly. Equal (unit, i, j) stand
+    # together in a partition and in order: a task holds one pair of blocks at a time.
+    turn = F.pmod(F.xxhash64("unit") + (F.col("j") * (F.col("j") + 1) / 2).cast("long") + F.col("i"), F.lit(shuffle_width(sets))).cast("int")
+    grouped = dealt.repartitionById(shuffle_width(sets), turn).sortWithinPartitions("unit", "i", "j", "own", "node")
     with small_batches(sets.sparkSession, ROWS):
         return saved(grouped.mapInArrow(tidy(walk), "a binary, b binary, texts long, docs long"), "links")
 
@@ -244,8 +325,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, trees: int =
         rows = saved(signatures(docs, trees), "signatures")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("labels").alias("labels"))
     nodes = saved(nodes, "nodes")
-    found = clusters(nodes, prefix_depth(threshold, trees, DEPTH, target))
-    members = saved(nodes.select("node", "rep", "copies").join(found, "node"), "members")
+    members = saved(nodes.select("node", "rep", "copies").join(units(nodes, threshold, trees, target), "node"), "members")
     with small_batches(docs.sparkSession, ROWS):
         links = verified(member_sets(docs, members), threshold)
     counts = links.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
