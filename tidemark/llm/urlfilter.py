@@ -2,21 +2,25 @@
 
 All in DataFrame functions. Weights are learned from a small labelled URL table (LABELLED_ROWS at most) by Spark's own
 logistic regression and enter the query as one literal array, so judging a page is one projection without a shuffle.
+The labelled urls are made by rule from words that stand in hosts and paths of sites to block and of others, and from
+made-up names without meaning, which are allowed: what the model has no evidence on is not blocked.
 
 Defined results: a null url or one without ``://`` has empty host and path and fits no rule; without n-grams the score
-is the model's intercept; of rules that fit, the longest (host and path together) wins, then the last in order, so a
-rule given twice counts once; rows that repeat are judged one by one; further columns are kept but for those named like
-the operator's own.
+is the model's intercept; of rules that fit, the longest (host and path together) wins, of equally long ones that with
+the longer host, and of two for one host and path the one that blocks, in whatever order and number rules are given; urls
+of any length are read whole; rows that repeat are judged one by one; an empty table gives no rows; further columns are
+kept but for those named like the operator's own.
 """
 
 from __future__ import annotations
 
 import json
+import random
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, saved, table
+from .common import lower_ascii, narrow, saved, table
 
 # Fixed values: (host, path, verdict). A rule fits its host and all subdomains where the url's path starts with its own.
 RULES = [
@@ -29,27 +33,47 @@ RULES = [
 #: With more rules than this they are joined on the host and not tried one by one.
 INLINE_RULES = 1000
 
-# The labelled URL table, 1 for what is to be blocked.
-BLOCKED = """
-http://spam-farm.example.org/en/12 https://www.spam-farm.example.org/de/3.html https://spamfarm.example.info/offers/9
-https://www.cheap-pills.example.org/en/14 http://cheap-pills.example.net/fr/8?page=2 https://buy-pills.example.biz/order/cheap
-https://casino-win.example.org/en/101 http://www.casino-win.example.org/es/77 https://best-casino.example.info/play/win
-https://m.free-bets.example.org/en/5#top http://free-bets.example.net/de/50 https://bets-online.example.biz/free/bets
-https://ads-track.example.org/en/584 http://ads-track.example.org/fr/6 https://track-ads.example.info/click/ads?id=3
-https://adult-x.example.org/en/18 http://www.adult-x.example.net/es/9 https://adult-cams.example.biz/x/live
-https://win-prize.example.info/claim/now http://cheap-loans.example.biz/apply/fast https://free-money.example.org/en/win
-https://poker-win.example.org/de/31 http://pills-store.example.net/en/2 https://spam-links.example.org/farm/1
-""".split()
-ALLOWED = """
-https://www.ththan.example.org/en/45 http://therin.example.org/de/7.html https://blog.therth.example.org/en/92
-https://tiontion.example.net/en/12 http://m.tionsh.example.net/de/80 https://ththed.example.org/fr/33/
-https://news.example.org/world/2024 http://library.example.org/books/history https://www.university.example.org/courses/12
-https://docs.example.net/guide/install http://blog.garden.example.net/posts/roses https://recipes.example.org/en/soup
-https://museum.example.org/de/art/5 http://weather.example.net/en/today https://therer.example.org/es/41#top
-https://ththhe.example.org/en/6?page=2 http://www.theron.example.org/en/300 https://blog.thernt.example.net/de/25/
-https://city.example.org/fr/transport http://music.example.net/en/concerts https://ththing.example.org/en/18.html
-https://ththwh.example.org/de/471 http://science.example.org/papers/11 https://school.example.net/en/maths
-""".split()
+# Words of sites to block, of their paths, and of other sites and their paths.
+BLOCK_HOSTS = (
+    "adserver adult affiliate ads bets betting bingo bitcoin-doubler bonus cams casino cheap cialis clickbait counterfeit crack "
+    "crypto-doubler debt diet-pills doubler escort free-money gamble giveaway hookup jackpot keygen loans lottery malware meds "
+    "nude payday pharmacy phishing pills poker popunder porn prize replica roulette seo-links slots spam spam-farm spyware "
+    "steroids sweepstakes torrent tracker tracking viagra warez webcam win winner xxx"
+).split()
+BLOCK_PATHS = "bonus buy-now cheap claim click download-crack earn free invest live-cams offer order play prize redirect signup-bonus spin track verify-account win".split()
+ALLOW_HOSTS = (
+    "airport archive art astronomy bakery bank bbc biology books botany bridge cathedral chemistry chess cinema city clinic "
+    "coffee college community council court cricket cycling database dictionary docs economics encyclopedia engineering football "
+    "forest forum gallery garden gazette geology government guardian harbour health history hospital hotel insurance journal "
+    "kitchen language law library linux magazine maps math mountain museum music nature news observatory ocean orchestra "
+    "parliament philosophy photo physics poetry post press python radio railway recipes research river school science society "
+    "software space sport station stories tennis theatre times travel university village weather wiki zoo"
+).split()
+ALLOW_PATHS = "about articles blog contact courses de/art en/guide events fr/histoire help history index.html library news papers posts products questions reviews sport topics wiki".split()
+ENDINGS = "com org net info co.uk de fr io eu biz".split()
+
+
+def made_urls(seed: int = 5, block: list[str] | None = None, allow: list[str] | None = None, each: int = 6) -> list[tuple[str, int]]:
+    """Labelled urls (1: block): ``each`` of every host word, and as many of made-up names as of words to allow; made by rule from a seed."""
+    rng = random.Random(seed)
+
+    def url(host: str, paths: list[str]) -> str:
+        path = rng.choice(["", "/", f"/{rng.choice(paths)}", f"/{rng.choice(paths)}/{rng.randint(1, 9999)}", f"/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.randint(1, 9999)}"])
+        tail = rng.choice(["", "", "", "?page=2", "#top", f"?id={rng.randint(1, 99)}"])
+        return f"{rng.choice(['http', 'https'])}://{rng.choice(['', '', 'www.', 'm.', 'blog.'])}{host}.{rng.choice(ENDINGS)}{path}{tail}"
+
+    def host(word: str, others: list[str]) -> str:
+        return rng.choice([word, f"{word}{rng.randint(1, 99)}", f"{word}-{rng.choice(others)}", f"{rng.choice(others)}-{word}", f"{word}{rng.choice(others)}", f"{word}.example"])
+
+    def name() -> str:
+        return "".join(rng.choice("bcdfghjklmnprstvwz") + rng.choice("aeiou") + rng.choice(["", "", "n", "r", "s", "t", "th", "l"]) for _ in range(rng.randint(2, 4)))
+
+    block, allow = block or BLOCK_HOSTS, allow or ALLOW_HOSTS
+    urls = [(url(host(w, block), BLOCK_PATHS + ALLOW_PATHS), 1) for w in block for _ in range(each)]
+    urls += [(url(host(w, allow), ALLOW_PATHS), 0) for w in allow for _ in range(each)]
+    urls += [(url(rng.choice([name(), f"{name()}.example", f"{name()}-{rng.choice(allow)}"]), ALLOW_PATHS), 0) for _ in allow for _ in range(each)]
+    return urls
+
 
 SIZES = (3, 4, 5)
 WIDTH = 1 << 12
@@ -64,13 +88,15 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def grams(field: str, text: Column) -> Column:
     """Hashed n-grams of a text between ^ and $, apart for each field."""
-    marked = F.concat(F.lit("^"), text, F.lit("$"))
+    # The characters are an array of their own: a substring would count from the text's beginning each time.
+    marked = F.regexp_extract_all(F.concat(F.lit("^"), text, F.lit("$")), F.lit("(?s)."), F.lit(0))
 
-    def of(n: int) -> Column:
-        starts = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.lit(field), F.substring(marked, i, F.lit(n))), F.lit(WIDTH)).cast("int"))
+    def of(n: int, chars: Column) -> Column:
+        starts = F.when(F.size(chars) >= n, F.sequence(F.lit(0), F.size(chars) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.lit(field), F.concat(*[F.get(chars, i + k) for k in range(n)])), F.lit(WIDTH)).cast("int"))
 
-    return F.concat(*map(of, SIZES))
+    # An array of one, so that its item is made once and not for each n-gram.
+    return F.flatten(F.transform(F.array(marked), lambda chars: F.concat(*[of(n, chars) for n in SIZES])))
 
 
 def features(url: Column) -> Column:
@@ -80,7 +106,7 @@ def features(url: Column) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(u, 1) for u in BLOCKED] + [(u, 0) for u in ALLOWED], "url string, label int")
+    return spark.createDataFrame(made_urls(), "url string, label int")
 
 
 def train(labelled: DataFrame, rows: int = LABELLED_ROWS) -> tuple[list[float], float]:
@@ -93,7 +119,7 @@ def train(labelled: DataFrame, rows: int = LABELLED_ROWS) -> tuple[list[float],
     found = saved(chosen.select(F.col("label").cast("double").alias("label"), features(F.col("url")).alias("found")), "labelled-urls")
     held = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda i: F.array_contains("found", i).cast("double"))
     made = found.select("label", array_to_vector(held).alias("features"))
-    model = LogisticRegression(maxIter=50, regParam=0.02, standardization=False).fit(made)
+    model = LogisticRegression(maxIter=50, regParam=0.002, standardization=False).fit(made)
     return [float(w) for w in model.coefficients.toArray()], float(model.intercept)
 
 
@@ -116,8 +142,7 @@ def ruled(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame) -> Da
             return _ruled_by_join(pages, rules)
         rules = listed
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
-    order = sorted(range(len(rules)), key=lambda k: (len(rules[k][0]) + len(rules[k][1]), k))
-    for host, path, verdict in (rules[k] for k in order):
+    for host, path, verdict in sorted(rules, key=lambda r: (len(r[0]) + len(r[1]), len(r[0]), r[2] == "block")):
         made = F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("verdict"))
         found = F.when(_fits(F.col("host"), F.col("path"), F.lit(host), F.lit(path)), made).otherwise(found)
     return pages.withColumn("_rule", found)
@@ -129,10 +154,11 @@ def _ruled_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     asked = places.select("host", "path", F.explode(suffixes).alias("_suffix"))
-    listed = rules.select(F.col("host").alias("_suffix"), F.col("path").alias("_path"), F.col("verdict").alias("_verdict"))
+    # Saved, so that both sides come straight from a shuffle where the rules are too many to broadcast: Spark can split what a hot suffix has.
+    listed = narrow(saved(rules.select(F.col("host").alias("_suffix"), F.col("path").alias("_path"), F.col("verdict").alias("_verdict")), "url-rules"))
     made = F.struct(F.concat("_suffix", "_path").alias("rule"), F.col("_verdict").alias("verdict"))
     hits = asked.join(listed, "_suffix").where(F.startswith("path", F.col("_path")))
-    best = hits.groupBy("host", "path").agg(F.max_by(made, F.struct(F.length("_suffix") + F.length("_path"), "_verdict")).alias("_rule"))
+    best = hits.groupBy("host", "path").agg(F.max_by(made, F.struct(F.length("_suffix") + F.length("_path"), F.length("_suffix"), F.col("_verdict") == "block")).alias("_rule"))
     return pages.join(best, ["host", "path"], "left")
 
 
