@@ -1,14 +1,16 @@
 """Line dedup over levelled sorted runs of line hashes, in DataFrame operations only.
 
 The store keeps runs: files bucketed and sorted by a line's 128-bit hash, a row for each hash with the number of
-documents that held it, whether the run was the first to hold it, and then its owner. A batch is hashed, reduced to a
-row a hash, and merge-anti-joined with the runs: what none of them knows is new and owned by the batch's largest
-doc_id, the rest adds to counts. The result is one more run of level 0. As soon as a level has ``fanout`` runs they are
-merged into one of the next level, so a store of n batches has some fanout * log(n) runs. Buckets of all runs agree, so
-the joins and merges shuffle nothing.
-
-Defined results: a null or empty text is one empty line; each row is a document, and rows that repeat count as often;
-null doc_ids come before all others; ties of the largest doc_id all own the line; further columns are not read.
+documents that held it, whether the run was the first to hold it, and the largest doc_id among them, its owner. A batch
+is hashed, reduced to a row a hash, and merge-anti-joined with the runs: what none of them knows is new, the rest adds to
+counts. The result is one more run of level 0. As soon as a level has ``fanout`` runs they are merged into one of the next
+level, so a store of n batches has some fanout * log(n) runs, and batches may come in any order of doc_id. Buckets of all
+runs agree, so the joins and merges shuffle nothing. A job's store is closed when its frequent lines are saved, or when it
+fails, and takes its tables with it.
+
+Defined results: a null or empty text is one empty line; texts and lines of any length are taken whole; each row is a
+document, and rows that repeat count as often; null doc_ids come before all others; ties of the largest doc_id all own
+the line; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from .common import fresh_path, id_cuts, lower_ascii, remove, saved, table
 
 BLANK = " \t\n\x0b\x0c\r"
 LEAST_CHARS, LEAST_DOCS = 40, 5
-BATCHES, FANOUT = 4, 2
+#: Batches of a job at least, documents of a batch at most, and runs of a level that are merged.
+BATCHES, BATCH_DOCS, FANOUT = 4, 100_000_000, 2
 KEYS = ["h1", "h2"]
 
 
@@ -49,24 +52,39 @@ def hashed_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """The store. Batches come in descending order of doc_id, so a line's first batch has its largest doc_id."""
+    """The store; a context that drops its tables at the end."""
 
     def __init__(self, spark, buckets: int | None = None, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[tuple[str, str]]] = []
+        self.made: set[tuple[str, str]] = set()
+
+    def __enter__(self) -> LineRuns:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Drops all runs."""
+        for run in self.made.copy():
+            self._drop(run)
+        self.levels = []
 
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name, _ in level]
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name, path = f"line_run_{uuid4().hex}", fresh_path(self.spark, "line-run")
+        self.made.add((name, path))
         rows.write.bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", path).saveAsTable(name)
         return name, path
 
     def _drop(self, run: tuple[str, str]) -> None:
-        self.spark.sql(f"drop table {run[0]}")
+        self.spark.sql(f"drop table if exists {run[0]}")
         remove(self.spark, run[1])
+        self.made.discard(run)
 
     def add(self, docs: DataFrame, least: int = LEAST_CHARS) -> None:
         seen = hashed_lines(docs, least).groupBy(*KEYS).agg(F.count("*").alias("n"), F.lit(True).alias("fresh"), F.max("doc_id").alias("owner"))
@@ -76,7 +94,7 @@ class LineRuns:
             rows = self.spark.table(batch[0])
             new = reduce(lambda left, run: left.join(run.hint("merge"), KEYS, "left_anti"), runs, rows)
             # A hash is fresh in one run only, so these don't overlap.
-            known = [rows.join(run.hint("merge"), KEYS, "left_semi").withColumns({"fresh": F.lit(False), "owner": F.lit(None).cast("long")}) for run in runs]
+            known = [rows.join(run.hint("merge"), KEYS, "left_semi").withColumn("fresh", F.lit(False)) for run in runs]
             run = self._write(reduce(DataFrame.unionByName, known, new))
             self._drop(batch)
             batch = run
@@ -127,14 +145,15 @@ def batches_of(docs: DataFrame, batches: int) -> list[DataFrame]:
     return out
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int | None = None) -> DataFrame:
     """doc_id, text without its dropped lines, n_lines before, n_dropped."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    store = LineRuns(docs.sparkSession)
-    for batch in batches_of(docs, batches):
-        store.add(batch, least_chars)
-    # Saved, so that both sides of the join come straight from a shuffle and Spark can split a hot line's share among tasks.
-    frequent = saved(store.counts().where(F.col("n") >= least_docs).select(*KEYS, F.col("owner")), "frequent-lines")
+    batches = batches or max(BATCHES, -(-docs.count() // BATCH_DOCS))
+    with LineRuns(docs.sparkSession) as store:
+        for batch in batches_of(docs, batches):
+            store.add(batch, least_chars)
+        # Saved, so that both sides of the join come straight from a shuffle and Spark can split a hot line's share among tasks.
+        frequent = saved(store.counts().where(F.col("n") >= least_docs).select(*KEYS, F.col("owner")), "frequent-lines")
     lost = (
         hashed_lines(docs, least_chars)
         .join(frequent, KEYS)
@@ -159,11 +178,12 @@ def op3(spark, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-with line as (select doc_id, unnest(l) line, generate_subscripts(l, 1) pos from (select doc_id, string_split(coalesce(text, ''), chr(10)) l from documents)),
+with doc as (select row_number() over () r, doc_id, string_split(coalesce(text, ''), chr(10)) l from documents),
+line as (select r, doc_id, unnest(l) line, generate_subscripts(l, 1) pos from doc),
 keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k from line),
-frequent as (select k, max(doc_id) owner from keyed where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
-marked as (select keyed.*, owner is not null and owner <> doc_id gone from keyed left join frequent using (k))
+frequent as (select k, max(doc_id) owner from keyed where length(k) >= 40 group by k having count(distinct r) >= 5),
+marked as (select keyed.*, frequent.k is not null and doc_id is distinct from owner gone from keyed left join frequent on keyed.k = frequent.k)
 select doc_id, count(*) n_lines, count(*) filter (where gone) n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) kept_sha256
-from marked group by doc_id
+from marked group by r, doc_id
 """
