@@ -11,8 +11,10 @@ they go to the next round's blocks until a source has one block, whatever the ot
 source's target. Then they are the landing problem, decided by trying all ways for the one nearest to the expected words. Should the nearest still miss by
 more than MISS of the target, which takes a source of few and very unequal documents, further documents make up for it.
 
-Defined results: null texts have no words; a source without words has target 0 and takes nothing; rows that repeat
-are taken independently; random numbers depend on the rows of a block alone, so reruns agree.
+Defined results: null texts have no words, and texts of any length count whole; a source without words has target 0 and
+takes nothing; rows that repeat are taken independently, and so are rows without an id; of ways that land equally near,
+that with the nearest number of documents is taken, then the first; random numbers depend on the rows of a block alone, so
+reruns agree; an empty table gives no rows; ``mix`` keeps further columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, CAP = 1.5, 2.0
 #: Documents of a source that one flight decides.
 BLOCK = 4096
+#: Equal rows that are dealt out by one task at a time.
+COPIES = 100_000
 #: Documents that a source's landing decides at most.
 LANDING = 14
 #: Share of a source's target by which its landing may miss before that is mended.
@@ -168,6 +172,18 @@ def _decide(level: int, size: int):
     return decide
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows(key, source, size), saved by the caller, with ``copy``, a number of each among equal rows.
+
+    Equal rows are counted before they meet, and dealt out again in parts of COPIES: no task has all of a hot key.
+    """
+    counts = rows.groupBy("key", "source", "size").agg(F.count("*").alias("n"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES)))
+    parts = counts.withColumn("part", part).repartition("key", "source", "size", "part")
+    last = F.least(F.col("n"), (F.col("part") + 1) * COPIES) - 1
+    return parts.select("key", "source", "size", F.explode(F.sequence(F.col("part") * COPIES, last)).alias("copy"))
+
+
 def choose(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """rows(key, source, size), read several times, with source_size, target and times (how often each row is taken).
 
@@ -178,19 +194,20 @@ def choose(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float =
     hint = F.broadcast if small else (lambda df: df)
     plan = plan.withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    known = rows.join(hint(plan), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumn("_rate", rate)
+    known = numbered(rows).join(hint(plan), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumn("_rate", rate)
     known = known.withColumns({"times": F.floor("_rate"), "p": F.col("_rate") - F.floor("_rate")})
     kept = ["key", "source", "size", "source_size", "target", "times"]
     parts = [known.where("p = 0").select(*kept)]
-    state = known.where("p > 0").select(*kept, "p", "number", "n_docs")
+    state = known.where("p > 0").select(*kept, "p", "number", "n_docs", "copy")
     schema = state.schema
     most, level = plan.agg(F.max("n_docs")).first()[0] or 0, 0
     while True:
         # Undecided rows per source are known in advance: all at first, then LANDING for each block at most.
         blocks = F.ceil(F.col("n_docs") / BLOCK)
 
-        # A block is a hash range of its source's rows: a hot source has as many blocks as its rows need.
-        blocked = state.withColumn("_block", F.pmod(F.xxhash64("key", F.lit(level)), blocks).cast("long"))
+        # A block is a hash range of its source's rows: a hot source has as many blocks as its rows need. Equal rows go to
+        # blocks in turn, so how many a block has of them is the same in every run.
+        blocked = state.withColumn("_block", F.pmod(F.xxhash64("key", "size", F.lit(level)) + F.col("copy"), blocks).cast("long"))
         path = fresh_path(spark, f"flight-{level}")
         blocked.groupBy("number", "_block").applyInPandas(_decide(level, BLOCK), schema).write.parquet(path)
         done = spark.read.schema(schema).parquet(path)
