@@ -6,7 +6,8 @@ Where that length reaches a window (``window`` words, or all words of a shorter
 
 Defined results: a null or empty text has no words and no hits; null items and items without words are skipped;
 rows that repeat are judged one by one; further columns of the documents are kept as they are, but for those named
-like the operator's own, which it replaces; an item id that occurs on several rows owns the windows of all of them. Texts are read whole, whatever their length.
+like the operator's own, which it replaces; an item id that occurs on several rows owns the windows of all of them; an
+empty benchmark hits nothing, and an empty table gives no rows. Texts are read whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .common import SQL_WORDS, table, text_batches, tidy, words_of
 WINDOW = 10
 #: Words of test items in one automaton; more items go to further automata, which a task loads one after another.
 BLOCK_WORDS = 200_000
+#: Bytes of texts that a task holds, where there are several automata, to load each once for all of them.
+GROUP_BYTES = 32 << 20
 #: A document with a larger share of hit words is dropped whole, others lose only the hit spans.
 MAX_COVERAGE = 0.9
 
@@ -145,25 +148,59 @@ def _blocks(benchmark: DataFrame, window: int) -> Iterator[Automaton]:
         yield Automaton(block, window)
 
 
+class Automata:
+    """The automata of a benchmark, sent to the executors. A worker keeps a single one, and of several has one at a time."""
+
+    def __init__(self, benchmark: DataFrame, window: int):
+        sc = benchmark.sparkSession.sparkContext
+        self.sent = [sc.broadcast(cloudpickle.dumps(a)) for a in _blocks(benchmark, window)]
+        self.only: Automaton | None = None
+
+    def __iter__(self) -> Iterator[Automaton]:
+        if len(self.sent) == 1:
+            self.only = self.only or cloudpickle.loads(self.sent[0].value)
+            yield self.only
+            return
+        for b in self.sent:
+            automaton = cloudpickle.loads(b.value)
+            b.__dict__.pop("_value", None)  # a worker would keep the bytes of all
+            yield automaton
+
+    def find(self, texts: list[list[bytes]]) -> tuple[list[list[tuple[int, int]]], list[set[str]]]:
+        """Hit spans and items of each text, given as words."""
+        spans, items = [[] for _ in texts], [set() for _ in texts]
+        for automaton in self:
+            for row, ws in enumerate(texts):
+                s, found = automaton.hits(ws)
+                if found:
+                    spans[row] = _merged(spans[row] + s)
+                    items[row] |= found
+        return spans, items
+
+    def groups(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The batches, with several automata put together up to GROUP_BYTES."""
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if len(self.sent) < 2 or size > GROUP_BYTES:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches() if len(held) > 1 else held
+                held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents' columns with n_words, n_hit, spans (hit words, [start, end)) and items (ids, sorted as strings)."""
-    sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(cloudpickle.dumps(a)) for a in _blocks(benchmark, window)]
+    automata = Automata(benchmark, window)
     added = T.StructType.fromDDL("n_words long, n_hit long, spans array<struct<start:int,end:int>>, items array<string>")
     docs = docs.drop(*added.names)
     schema = T.StructType([*docs.schema.fields, *added.fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [cloudpickle.loads(sent[0].value)] if len(sent) == 1 else None
-        for batch in batches:
+        for batch in automata.groups(batches):
             split = [words_of(None if t is None else t.encode()) for t in batch.column("text").to_pylist()]
-            spans, items = [[] for _ in split], [set() for _ in split]
-            for automaton in automata or (cloudpickle.loads(b.value) for b in sent):
-                for row, ws in enumerate(split):
-                    s, found = automaton.hits(ws)
-                    if found:
-                        spans[row] = _merged(spans[row] + s)
-                        items[row] |= found
+            spans, items = automata.find(split)
             columns = [
                 pa.array([len(ws) for ws in split], pa.int64()),
                 pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
@@ -202,27 +239,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     A document goes whole if more than ``max_coverage`` of its words are hit. Cutting can join words to a new
     window; so a text is cut until it has none. Untouched documents come out exactly as they went in.
     """
-    sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(cloudpickle.dumps(a)) for a in _blocks(benchmark, window)]
+    automata = Automata(benchmark, window)
     schema = docs.schema
     text_at, chars_at = schema.names.index("text"), schema.names.index("n_chars") if "n_chars" in schema.names else None
 
-    def clean(text: str, automata: list[Automaton]) -> str | None:
-        first = True
-        while True:
-            ws = words_of(text.encode())
-            spans = _merged([s for a in automata for s in a.hits(ws)[0]])
-            if not spans:
-                return text
-            if first and sum(b - a for a, b in spans) > max_coverage * len(ws):
-                return None
-            first, text = False, cut_spans(text, spans)
+    def clean(texts: list[str | None]) -> list[str | None]:
+        """The texts without hits, None for those that go."""
+        out, open_, first = list(texts), [i for i, t in enumerate(texts) if t is not None], True
+        while open_:
+            split = [words_of(out[i].encode()) for i in open_]
+            spans, _ = automata.find(split)
+            hit = [(i, s, len(ws)) for i, s, ws in zip(open_, spans, split, strict=True) if s]
+            for i, s, n in hit:
+                out[i] = None if first and sum(b - a for a, b in s) > max_coverage * n else cut_spans(out[i], s)
+            open_, first = [i for i, _, _ in hit if out[i] is not None], False
+        return out
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [cloudpickle.loads(b.value) for b in sent]
-        for batch in batches:
+        for batch in automata.groups(batches):
             texts = batch.column(text_at).to_pylist()
-            cleaned = [t if t is None else clean(t, automata) for t in texts]
+            cleaned = clean(texts)
             keep = [t is None or c is not None for t, c in zip(texts, cleaned, strict=True)]
             columns = list(batch.columns)
             columns[text_at] = pa.array(cleaned, columns[text_at].type)
