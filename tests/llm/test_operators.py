@@ -50,6 +50,15 @@ def test_many_blocks_give_what_one_gives(spark, fixture, monkeypatch):
     assert len(list(decontaminate._blocks(bench, 10))) > 3 and rows() == one
 
 
+@pytest.mark.parametrize("group", [1, 1 << 25])
+def test_many_blocks_cut_what_one_cuts(spark, fixture, monkeypatch, group):
+    docs, bench = spark.read.parquet(f"{fixture[0]}/documents.parquet"), spark.read.parquet(f"{fixture[0]}/benchmark.parquet")
+    one = sorted(map(str, decontaminate.decontaminate(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", group)
+    assert sorted(map(str, decontaminate.decontaminate(docs, bench).collect())) == one != sorted(map(str, docs.collect()))
+
+
 def test_frames_round_trip():
     payloads = [b"", b"\n", b"\n\n\r\0" * 5, bytes(range(256)) * 40, b"\x1b\n\x1b\x01\x1b\x02"]
     data = b"".join(map(records.frame, payloads))
@@ -167,9 +176,25 @@ def test_merged_fingerprints(spark, fixture):
     assert got == {s: fingerprint.merged(f) for s, f in by.items()}
 
 
-def test_runs_are_compacted(spark):
+def line_tables(spark):
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_no_tables_are_left(spark, fixture, monkeypatch):
+    docs = spark.read.parquet(f"{fixture[0]}/documents.parquet")
+    linededup.dedup_lines(docs)
+    assert line_tables(spark) == []
+    monkeypatch.setattr(linededup.LineRuns, "counts", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        linededup.dedup_lines(docs)
+    assert line_tables(spark) == []
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_runs_are_compacted(spark, order):
+    """Batches in any order of doc_id leave the largest one as a line's owner."""
     store = linededup.LineRuns(spark, buckets=3, fanout=2)
-    for n in range(5):
+    for n in range(5)[::order]:
         rows = [(10 - n, f"{'common line of all the batches ' * 2}\n{'line of batch %d ' % n * 5}\nshort")]
         store.add(spark.createDataFrame(rows, "doc_id long, text string"))
         assert all(len(level) < 2 for level in store.levels)
@@ -178,6 +203,8 @@ def test_runs_are_compacted(spark):
     joined = store.runs()[0].join(store.runs()[-1].hint("merge"), linededup.KEYS, "left_anti")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+    store.close()
+    assert line_tables(spark) == []
 
 
 def test_flight_keeps_totals():
@@ -200,6 +227,21 @@ def test_rounds_of_blocks(spark, monkeypatch):
         assert sum(r["times"] * r["size"] for r in mine) == pytest.approx(mine[0]["target"], rel=0.01)
 
 
+def test_equal_rows_are_dealt_out(spark, monkeypatch):
+    """Rows without an id, all alike, fill as many blocks as they need, and reruns agree."""
+    monkeypatch.setattr(mixing, "BLOCK", 64)
+    monkeypatch.setattr(mixing, "COPIES", 100)
+    rng = random.Random(4)
+    rows = [("", "a", 7)] * 1000 + [("", "a", rng.randint(1, 90)) for _ in range(500)] + [(str(i), "b", 5) for i in range(200)]
+    frame = spark.createDataFrame(rows, "key string, source string, size long")
+    numbers = mixing.numbered(frame).collect()
+    assert sorted((r["key"], r["source"], r["size"]) for r in numbers) == sorted(rows) and len({tuple(r) for r in numbers}) == len(rows)
+    out = [sorted(map(str, mixing.choose(f).collect())) for f in (frame, frame.repartition(7))]
+    assert out[0] == out[1] and len(out[0]) == len(rows)
+    blocks = mixing.numbered(frame).where("source = 'a'").groupBy(F.pmod(F.xxhash64("key", "size", F.lit(0)) + F.col("copy"), F.lit(24))).count().agg(F.max("count")).first()[0]
+    assert blocks < 130
+
+
 def test_long_documents_beside_a_source_of_many_blocks(spark, monkeypatch):
     """Each source lands near its target, also with one very long document, be it smaller or larger than a block."""
     monkeypatch.setattr(mixing, "BLOCK", 256)
