@@ -3,14 +3,17 @@
 A candidate is a word (between white space) that is, but for quotes and a ``name=`` before it, a run of at least
 LEAST characters of keys and tokens with a digit, or of 16 or more capitals. A word that is more than this is searched
 for such runs between other signs, for passwords in urls, and for values after a name and = or :, which may hold signs
-up to their closing quote or separator; the name may also be the word before. The forest sees its length, the
+up to their closing quote or separator; the name may also be the word before. A value whose name speaks of secrets
+(SECRET_NAMES) needs no digit. The forest sees its length, the
 transitions between lower case, upper case, digits and signs, the share of each, of distinct characters and of
 hexadecimal ones, how much of it dictionary words cover, marks of test data in its path, and the neighbouring words. The
 dictionary is what stands as a word in at least DICTIONARY_DOCS documents of the corpus. The forest is trained by Spark
 from labelled findings, which go through the same steps.
 
-Defined results: null and empty texts have no candidates; a missing or null path has no marks; each occurrence is a
-finding, so rows that repeat find the same again; further columns are not read.
+Defined results: null and empty texts have no candidates; texts and words of any length are searched whole; a missing or
+null path has no marks; each occurrence is a finding, so rows that repeat find the same again, and equal findings get equal
+scores; a forest that is as sure of either class says secret; an empty table has no findings; further columns are not
+read.
 """
 
 from __future__ import annotations
@@ -42,6 +45,10 @@ INSIDE = "|".join([
 SECRET_WORDS = "password passwd pwd secret token key apikey api_key access_key secret_key auth authorization bearer credential credentials private client_secret".split()
 OTHER_WORDS = "commit sha sha1 sha256 md5 checksum hash digest uuid guid id version phone tel fax card invoice order isbn build revision etag".split()
 FAKE_WORDS = ("example", "sample", "dummy", "test", "changeme", "placeholder", "your", "xxxx", "fixture", "mock", "redacted", "1234567")
+#: Names whose values are candidates without a digit too, before = or :.
+SECRET_NAMES = "(?:passw|passphrase|pwd|secret(?!ar|ly|ion)|token(?!iz)|api_?key|access_?key|auth(?!or(?!iz))|credential)"
+_NAMED = r"""(?i)%s[A-Za-z0-9_.\-]{0,32}\\?["'`]?[=:]""" % SECRET_NAMES
+PLAUSIBLE = "[0-9]|[A-Z]{16}|" + _NAMED
 #: Beginnings that issuers give their keys.
 ISSUED = r"^(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza|glpat-|eyJ)"
 
@@ -51,11 +58,15 @@ FEATURES = ["length", "transitions", "digits", "upper", "lower", "hexadecimal",
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, path, word (its place among the text's words), name, value, before and after (two neighbours each side)."""
     text = F.coalesce("text", F.lit(""))
-    words = F.filter(F.split(F.when(F.rlike(text, F.lit("[0-9]|[A-Z]{16}")), text).otherwise(F.lit("")), SPACE), lambda w: w != "")
+    words = F.filter(F.split(F.when(F.rlike(text, F.lit(r"[0-9]|[A-Z]{16}|(?i)%s[^\s=:]{0,40}\s?[=:]" % SECRET_NAMES)), text).otherwise(F.lit("")), SPACE), lambda w: w != "")
     placed = docs.select(F.col("doc_id").cast("long"), column_or_null(docs, "path", "string").alias("path"), words.alias("w"))
-    # Cheap test first: most words are short or have no digit.
+    # Cheap test first: most words are short or have no digit, and no name of a secret in or before them.
+    def named(i: Column) -> Column:
+        before = F.get("w", i - 1)
+        return F.coalesce(F.rlike(before, F.lit(_NAMED + "+$")) | (F.rlike(before, F.lit("^[=:]+$")) & F.rlike(F.get("w", i - 2), F.lit("(?i)" + SECRET_NAMES))), F.lit(False))
+
     plausible = F.filter(
-        F.transform("w", lambda w, i: F.when((F.length(w) >= LEAST) & F.rlike(w, F.lit("[0-9]|[A-Z]{16}")), F.struct(i.alias("i"), w.alias("w")))), lambda s: s.isNotNull()
+        F.transform("w", lambda w, i: F.when((F.length(w) >= LEAST) & (F.rlike(w, F.lit(PLAUSIBLE)) | named(i)), F.struct(i.alias("i"), w.alias("w")))), lambda s: s.isNotNull()
     )
     found = placed.where(F.size(plausible) > 0).select("doc_id", "path", "w", F.explode(plausible).alias("s"))
     shape = r"""^[\"'(\[{<`]*(?:([A-Za-z_][A-Za-z0-9_\-.]*)[=:]+[\"'`]?)?([A-Za-z0-9+/_\-.~]{%d,}=*)[\"')\]}>`,;:.!?]*$""" % LEAST
@@ -67,18 +78,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     # A name and its = or : may be words of their own.
     ahead = F.when(at(-1).rlike("^[=:]+$"), F.concat(at(-2), at(-1))).otherwise(at(-1))
     text = F.concat(F.regexp_extract(ahead, r"""%s{1,64}["'`]?[=:]+$""" % _NAME, 0), F.col("s.w"))
+    title = F.regexp_extract(ahead, r"""(%s{1,64})["'`]?[=:]+$""" % _NAME, 1)
     parts = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(INSIDE), F.lit(k)).alias(f"g{k}") for k in range(1, 6)])
 
     def part(g: Column) -> Column:
         name = F.when(g["g1"] != "", F.lit("password")).otherwise(F.regexp_replace(g["g2"], r"^[0-9.\-]+", ""))
         return F.struct(name.alias("name"), F.regexp_replace(F.concat(*[g[f"g{k}"] for k in (1, 3, 4, 5)]), r"[.:?]+$", "").alias("value"))
 
-    whole = F.array(F.struct(F.regexp_extract("s.w", shape, 1).alias("name"), F.regexp_replace(F.regexp_extract("s.w", shape, 2), r"\.+$", "").alias("value")))
+    own = F.regexp_extract("s.w", shape, 1)
+    whole = F.array(F.struct(F.when(own != "", own).otherwise(title).alias("name"), F.regexp_replace(F.regexp_extract("s.w", shape, 2), r"\.+$", "").alias("value")))
     cut = found.select(
         "doc_id", "path", i.cast("long").alias("word"), F.explode(F.when(F.rlike("s.w", F.lit(shape)), whole).otherwise(F.transform(parts, part))).alias("c"),
         F.array(at(-2), at(-1)).alias("before"), F.array(at(1), at(2)).alias("after"),
     ).select("doc_id", "path", "word", F.lower("c.name").alias("name"), "c.value", "before", "after")
-    return cut.where((F.length("value") >= LEAST) & (F.rlike("value", F.lit("[0-9]")) | F.rlike("value", F.lit("^[A-Z]{16,}$"))))
+    likely = F.rlike("value", F.lit("[0-9]")) | F.rlike("value", F.lit("^[A-Z]{16,}$")) | F.rlike("name", F.lit(SECRET_NAMES))
+    return cut.where((F.length("value") >= LEAST) & likely)
 
 
 def letter_runs(value: Column) -> Column:
@@ -131,15 +145,23 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
     }).drop("covered")
 
 
-def labelled_findings(spark: SparkSession, each: int = 25) -> DataFrame:
-    """text, path, label: ``each`` findings of every kind below, one candidate in a text; made by rule from a fixed seed."""
-    rng = random.Random(7)
+def labelled_findings(spark: SparkSession, each: int = 25, seed: int = 7) -> DataFrame:
+    """text, path, label: ``each`` findings of every kind below, one candidate in a text; made by rule from a seed."""
+    rng = random.Random(seed)
 
     def of(alphabet: str, n: int) -> str:
         return "".join(rng.choice(alphabet) for _ in range(n))
 
     hexa, digit, cap = "0123456789abcdef", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     base32, word = cap + "234567", cap + cap.lower() + digit
+
+    def typed() -> str:
+        """As people make them up: a word, a sign, digits."""
+        return of(cap, 1) + of(cap.lower() + "@0", rng.randint(4, 7)) + of("!@#$_&", 1) * rng.randint(0, 1) + of(digit, rng.randint(2, 5))
+
+    def plain() -> str:
+        return of(cap.lower() + digit * 2, rng.randint(7, 13)) + of(digit, 1)
+
     kinds = [
         (1, "src", lambda: f"the AKIA{of(base32, 16)} of"), (1, "src", lambda: f"{of(cap.lower(), 5)} AKIA{of(cap + digit, 16)} {of(cap.lower(), 3)}"),
         (1, "conf", lambda: f"and password={of(hexa, 18)} was"), (1, "src", lambda: f"db password: {of(word, rng.randint(12, 20))} end"),
@@ -153,6 +175,14 @@ def labelled_findings(spark: SparkSession, each: int = 25) -> DataFrame:
         (0, "tests", lambda: f"token = \"{of(hexa, 40)}\" in"), (0, "docs", lambda: f"api_key=example{of(digit, 6)}"),
         (0, "src", lambda: f"release version {rng.randint(1, 9)}.{rng.randint(1, 30)}.{rng.randint(10, 300)}-rc{of(digit, 1)} out"), (0, "src", lambda: f"see report_20{of(digit, 2)}_final.pdf for"),
         (0, "src", lambda: f"{of(cap.lower(), 4)} {of(digit, 12)} and"), (0, "src", lambda: f"part {of(cap, 2)}-{of(digit, 5)}-{of(cap, 2)} sold"),
+        (1, "src", lambda: f'{{"password":"{of(word, rng.randint(10, 18))}"}}'), (1, "conf", lambda: f"https://{of(cap.lower(), 4)}:{of(word, rng.randint(10, 18))}@db.org"),
+        (1, "src", lambda: f'connect(password="{of(word + "!#%", rng.randint(10, 18))}")'), (1, "src", lambda: f"GET /q?x=1&token={of(hexa, 20)} of"),
+        (1, "conf", lambda: f"password={of(cap.lower(), rng.randint(12, 20))} was"), (1, "src", lambda: f'"secret": "{of(word + "$!#", 14)}"'),
+        (1, "conf", lambda: f"password={typed()} was"), (1, "src", lambda: f"pwd = {typed()};"), (1, "src", lambda: f'login(password="{plain()}")'),
+        (1, "src", lambda: f"https://{of(cap.lower(), 3)}:{plain()}@{of(cap.lower(), 4)}.org/x"), (1, "src", lambda: f'"token":"{plain()}"'),
+        (0, "src", lambda: f'{{"commit":"{of(hexa, 40)}"}}'), (0, "src", lambda: f'{{"version":"{rng.randint(1, 9)}.{rng.randint(10, 30)}.{rng.randint(10, 300)}-beta"}}'),
+        (0, "src", lambda: f"GET /q?x=1&page={of(digit, 8)} of"), (0, "docs", lambda: f'{{"password":"your_password_{of(digit, 1)}"}}'),
+        (0, "tests", lambda: f"https://test:{of(word, 12)}@example.org"), (0, "src", lambda: f"order(invoice=\"{of(digit, 10)}\")"),
         (0, "src", lambda: f"the {of(cap.lower(), rng.randint(7, 14))}{of(digit, 1)} of"), (0, "src", lambda: f"www.{of(cap.lower(), 6)}{of(digit, 2)}.org/page{of(digit, 2)} is"),
     ]
     rows = [(make(), f"{where}/file", label) for label, where, make in kinds for _ in range(each)]
