@@ -386,16 +386,6 @@ def g6_throughput(spark, sf_dir):
     return G.throughput(batches).withColumns({c: F.round(c, 6) for c in ("docs_per_sec", "docs_per_batch", "ms_per_batch")})
 
 
-@query("select o_orderkey from orders order by o_totalprice desc, o_orderkey limit 10 offset 20")
-def g8_page(spark, sf_dir):
-    return table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").offset(20).limit(10).select("o_orderkey")
-
-
-@query("select count(*) as total from documents where lang = 'en'")
-def g9_total_hits(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(F.col("lang") == "en").agg(F.count("*").alias("total"))
-
-
 # -- the index and its queries --
 
 DOCUMENT_FIELDS = [
@@ -430,6 +420,11 @@ def r1_match_all(spark, sf_dir):
     return _found(spark, sf_dir, Q.MatchAll()).select("_id")
 
 
+@query("select cast(doc_id as varchar) as _id, source from documents")
+def r2_empty_query(spark, sf_dir):
+    return _found(spark, sf_dir, Q.Empty()).select("_id", "source")
+
+
 @query("select cast(doc_id as varchar) as _id, lang from documents where lang = 'de'")
 def r3_term(spark, sf_dir):
     return _found(spark, sf_dir, Q.Term("lang", "de")).select("_id", "lang")
@@ -469,24 +464,78 @@ def r7_rendered(spark, sf_dir):
     return _found(spark, sf_dir, Q.Empty()).select("_id", Q.rendered(F.col("n_chars")).alias("n_chars"))
 
 
+@query("select cast(o_orderkey as varchar) as _id, o_orderstatus from orders order by 1 limit 10 offset 20")
+def g8_page(spark, sf_dir):
+    """The third page of ten hits."""
+    index = _Columns(table(spark, sf_dir, "orders"), [Field("o_orderkey", "_ID"), Field("o_orderstatus", "ATOM")])
+    return Q.search(index, Q.MatchAll(), 20, 30, ["o_orderstatus"]).hits.select("_id", "o_orderstatus")
+
+
+@query("select count(*) as total from documents where lang = 'en'")
+def g9_total_hits(spark, sf_dir):
+    index = _Columns(table(spark, sf_dir, "documents"), DOCUMENT_FIELDS)
+    return spark.range(1).select(F.lit(Q.search(index, Q.Term("lang", "en"), 0, 0).total).cast("long").alias("total"))
+
+
+@query("select 'search_' || n_name || '-' || n_nationkey as service, n_nationkey as shard from nation")
+def p8_shard_id(spark, sf_dir):
+    """Shards that services are named for; a service knows its own on its driver, so names are few."""
+    named = table(spark, sf_dir, "nation").select(F.concat(F.lit("search_"), "n_name", F.lit("-"), "n_nationkey").alias("service")).collect()
+    return spark.createDataFrame([(r["service"], H.shard_id(r["service"], 25)) for r in named], "service string, shard int")
+
+
+@query(
+    "select * from (values ('open what is not created', 'index made does not exist, or isnt started'), ('open what is not started', 'index made does not exist, or isnt started'), "
+    "('create again', 'index made exists'), ('register a field again', 'index made has a field id'), ('started', 'id, name')) t(step, outcome)"
+)
+def r8_lifecycle(spark, sf_dir):
+    """Created, given fields, started; what comes too early or twice is refused."""
+    catalog, rows = IndexCatalog(spark, fresh_path(spark, "indexes")), []
+
+    def refused(step, act):
+        try:
+            act()
+        except (RuntimeError, ValueError) as e:
+            rows.append((step, str(e).replace("'", "")))
+
+    refused("open what is not created", lambda: catalog.open("made"))
+    catalog.create("made")
+    refused("open what is not started", lambda: catalog.open("made"))
+    refused("create again", lambda: catalog.create("made"))
+    catalog.register("made", [Field("id", "_ID"), Field("name", "ATOM")])
+    refused("register a field again", lambda: catalog.register("made", [Field("id", "ATOM")]))
+    rows.append(("started", ", ".join(f.name for f in catalog.start("made").schema.fields)))
+    return spark.createDataFrame(rows, "step string, outcome string")
+
+
 USER_FIELDS = [Field("user_id", "_ID"), Field("event_id", "ATOM"), Field("value", "DOUBLE")]
 
 
 @query(f"with {CHANGES} select cast(user_id as varchar) as _id, cast(event_id as varchar) as event_id, value from ranked where rn = 1 and op = 'ADD'")
 def s9_index_upsert(spark, sf_dir):
     """The changelog written to an index in two batches, each sent twice, and the index read back."""
+    return _ingested(spark, sf_dir, [b for p in ("_snapshot_id <= 15", "_snapshot_id > 15") for b in (p, p)], [0, 0, 1, 1])
+
+
+def _ingested(spark, sf_dir, parts: list[str], numbers: list[int]) -> DataFrame:
+    """An index after parts of the changelog, applied one after another as batches of these numbers."""
     catalog = IndexCatalog(spark, fresh_path(spark, "indexes"))
     catalog.create("users")
     catalog.register("users", USER_FIELDS)
     catalog.start("users")
     rows = changelog(spark, sf_dir)
     ingest = Ingest(catalog, "users", drop_prefixes=["ts", "props"], order=("_snapshot_id", "ts", "_seq"))
-    for batch, part in enumerate((rows.where("_snapshot_id <= 15"), rows.where("_snapshot_id > 15"))):
-        for _ in range(2):
-            ingest.apply_changes(part, batch)
+    for part, number in zip(parts, numbers, strict=True):
+        ingest.apply_changes(rows.where(part), number)
     return catalog.open("users").table().select("_id", "event_id", "value")
 
 
+@query(f"with {CHANGES} select cast(user_id as varchar) as _id, cast(event_id as varchar) as event_id, value from ranked where rn = 1 and op = 'ADD'")
+def s5_out_of_order(spark, sf_dir):
+    """The changelog's snapshots in batches that come in the wrong order: older operations don't undo newer ones."""
+    return _ingested(spark, sf_dir, ["_snapshot_id between 11 and 20", "_snapshot_id > 20", "_snapshot_id <= 10"], [0, 1, 2])
+
+
 @query("select cast(c_custkey as varchar) as _id, c_name from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null and o_orderpriority = '1-URGENT')")
 def s10_delete_by_query(spark, sf_dir):
     """Customers put into an index, and those with urgent orders deleted from it."""
