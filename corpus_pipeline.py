@@ -2,6 +2,11 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, and what one stage returns
 is written as Parquet and read again as the next one's documents. All stages but the last return the documents' columns.
+
+Defined results: null and empty texts, and rows without an id, are documents like others (all texts without words are one
+class of near duplicates, of which one stays); texts of any length are read whole; rows that repeat are copies; of equally
+good ones in a class the least id and row stays; further columns go through all stages but the last, whatever their names;
+empty tables give no rows, and without labels, or without benchmark items, their stage keeps every document as it is.
 """
 
 from __future__ import annotations
