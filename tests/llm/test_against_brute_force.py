@@ -32,6 +32,14 @@ def test_empty_tables(spark, empty):
         assert q(spark, empty).count() == 0, name
 
 
+@pytest.mark.parametrize("name", ["op1_benchmark_decontamination", "op2_toxicity", "op10_ngram_jaccard_join"])
+def test_sessions_are_left_as_they_were(spark, fixture, name):
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set(keys[0], 7777)
+    before = [spark.conf.get(k) for k in keys]
+    assert QUERIES[name](spark, fixture[0]).count() > 0 and [spark.conf.get(k) for k in keys] == before
+
+
 def test_op1(spark, fixture):
     _, rows, items = fixture
     windows = collections.defaultdict(set)

@@ -80,15 +80,15 @@ def by_id_ranges(df: DataFrame, key: str, parts: int, cuts: list[int]) -> DataFr
     return df.withColumn("_part", range_number(F.col(key), cuts)).repartitionById(max(1, min(parts, len(cuts) + 1)), F.col("_part"))
 
 
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows with texts that a Python worker gets at a time. With Spark's 10,000 a batch of ordinary texts takes tens of MB, in the JVM and in Python.
 TEXT_ROWS, TEXT_BYTES = 500, 4 << 20
 
 
 def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> SparkSession:
-    """From now on this session's Python workers get so many rows, and TEXT_BYTES, at a time."""
+    """From now on this session's Python workers get so many rows, and TEXT_BYTES, at a time: for what others write, as the pipeline's stages."""
     spark.conf.set(BATCH, rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BYTES)
+    spark.conf.set(BATCH_BYTES, TEXT_BYTES)
     return spark
 
 
@@ -107,11 +107,12 @@ def tidy(walk: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """While actions run here, Python workers get so many rows at a time: long texts need memory."""
-    old = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, rows)
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS):
+    """While actions run here, Python workers get so many rows, and TEXT_BYTES, at a time: long texts need memory."""
+    old = {k: spark.conf.get(k) for k in (BATCH, BATCH_BYTES)}
+    text_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(BATCH, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SQL_WORDS, table, text_batches, tidy, words_of
+from .common import SQL_WORDS, saved, small_batches, table, tidy, words_of
 
 WINDOW = 10
 #: Words of test items in one automaton; more items go to further automata, which a task loads one after another.
@@ -271,11 +271,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    found = find_contamination(table(text_batches(spark), sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return found.select(
+    found = find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    out = found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+    with small_batches(spark):
+        return saved(out, "contamination")
 
 
 OP1_SQL = f"""

@@ -5,8 +5,9 @@ Sketches of parts merge into the sketch of the whole, and any two estimate resem
 number of distinct shingles; all three are exact while the sketches involved hold every shingle.
 
 Defined results: null counts as empty; a text of fewer than five words has one shingle of all its words, one without
-words has none; two texts without words resemble each other fully, one without and one with words not at all; rows that
-repeat have equal fingerprints; further columns are not read.
+words has none; texts of any length are sketched whole; equal hashes count once; two texts without words resemble each
+other fully, one without and one with words not at all; rows that repeat have equal fingerprints, and of rows with one
+doc_id that with the lesser text comes first; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations

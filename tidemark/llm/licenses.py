@@ -11,7 +11,9 @@ up. Lookups meet a broadcast index of fixed size. Votes are shuffled once, by fi
 start's words are bits of one number, so nothing is kept for each word.
 
 Defined results: null counts as empty; a file without licence words has empty labels and score 0; a phrase that occurs
-in overlapping places counts at each; rows that repeat are scanned one by one; further columns are not read.
+in overlapping places counts at each; texts of any length are scanned whole; words of equal rarity
+are ranked by the alphabet, and a file keeps the best of its shares; rows that repeat are scanned one by one; an empty
+table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SQL_WORDS, narrow, saved, shuffle_width, small_batches, table, text_batches, tidy, words_of
+from .common import SQL_WORDS, narrow, saved, shuffle_width, small_batches, table, tidy, words_of
 from .components import components
 from .fingerprint import WordHashes, shingle_hashes
 
@@ -364,7 +364,7 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
-    docs = table(text_batches(spark), sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "n_links", "n_text_links")
 
 

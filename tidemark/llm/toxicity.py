@@ -2,19 +2,22 @@
 
 A character language model, trigrams of all words of the corpus, restores disguised words: what a writer did to a word
 (letters replaced by digits and signs, letters drawn apart, letters repeated) spans a lattice of possible letters, and
-Viterbi's algorithm finds the likeliest word in it. Toxic words and word beginnings are learned from labelled
-documents, after the same restoration. What counts as evidence is not documents but different contexts, the words that a
+Viterbi's algorithm finds the likeliest word in it, exactly. Toxic words and word beginnings are learned from labelled
+documents, after the same restoration; a beginning may also count from the second or third different word on that has it
+in a text, for what ordinary words share now and then. What counts as evidence is not documents but different contexts, the words that a
 feature was first seen after: words that merely stand in copies of a toxic document have few of them. Features of strong
 evidence are all taken, and then, by sequential covering, of those that are toxic beyond chance the ones that explain
 most of the toxic documents still unexplained.
 A text's score is the noisy-or of the features in it, or the rate of toxic documents among those without any.
 
 Labels are learned only from documents whose crc32(doc_id) mod 5 is not 0, and from TRAIN_ROWS of those at most, drawn
-by hash. lang, source and doc_id are no inputs of the score; every text is scored whole.
+by hash. lang, source and doc_id are no inputs of the score; every text is scored whole, whatever its length. Runs that
+can't lead to a learned feature, whatever they are restored to, aren't decoded when texts are scored.
 
-Defined results: null counts as empty; texts without features get the base score; repeated rows get equal scores; a
-document with several labels is toxic if one of them says so; without any label all scores are 0; a null doc_id is not
-held out; further columns are kept by ``reject_toxic`` and not read otherwise.
+Defined results: null counts as empty; texts without features get the base score; repeated rows get equal scores; of
+readings that cost the same the first in alphabetical order counts; a document with several labels is toxic if one of them
+says so; without any label all scores are 0; a null doc_id is not held out; an empty table gives no rows; further columns
+are kept by ``reject_toxic`` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import narrow, saved, table, text_batches, tidy
+from .common import narrow, saved, small_batches, table, tidy
 
 #: Labelled documents that training uses at most.
 TRAIN_ROWS = 20_000
@@ -601,7 +604,8 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> Data
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
-    docs = table(text_batches(spark), sf_dir, "documents").select("doc_id", "text")
-    out = scored(docs, train(docs, table(spark, sf_dir, "labels")))
-    held = F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with small_batches(spark):
+        out = scored(docs, train(docs, table(spark, sf_dir, "labels")))
+        held = F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False))
+        return saved(out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")), "toxicity")
