@@ -87,7 +87,10 @@ def licence_words(docs: DataFrame) -> DataFrame:
     split = docs.select(F.col("doc_id").cast("long"), "text", words(F.col("text")).alias("w"), anchored.alias("anchored"))
     placed = F.transform(words(lower_ascii(F.col("text"))), lambda w, i: F.struct(i.alias("at"), w.alias("w")))
     hits = F.when(F.col("anchored"), F.filter(placed, lambda h: h["w"].isin(known)))
-    found = F.array_distinct(F.filter(F.transform(F.filter("w", lambda w: F.length(w) <= 16), F.lower), lambda w: w.isin(known)))
+    # lower() is cheap and folds more letters than A-Z: what it lets through is looked at again.
+    longest = max(map(len, known))
+    held = F.filter("w", lambda w: (F.length(w) <= longest) & F.lower(w).isin(known) & lower_ascii(w).isin(known))
+    found = F.array_distinct(F.transform(held, lower_ascii))
     return split.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.size("w").cast("long").alias("n_words"), found.alias("found"), hits.alias("hits"))
 
 
