@@ -4,7 +4,7 @@ A candidate is a word (between white space) that is, but for quotes and a ``name
 LEAST characters of keys and tokens with a digit, or of 16 or more capitals. A word that is more than this is searched
 for such runs between other signs, for passwords in urls, and for values after a name and = or :, which may hold signs
 up to their closing quote or separator; the name may also be the word before. A value whose name speaks of secrets
-(SECRET_NAMES) needs no digit. The forest sees its length, the
+(SECRET_NAMES) in the same word needs no digit. The forest sees its length, the
 transitions between lower case, upper case, digits and signs, the share of each, of distinct characters and of
 hexadecimal ones, how much of it dictionary words cover, marks of test data in its path, and the neighbouring words. The
 dictionary is what stands as a word in at least DICTIONARY_DOCS documents of the corpus. The forest is trained by Spark
@@ -60,13 +60,9 @@ def candidates(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     words = F.filter(F.split(F.when(F.rlike(text, F.lit(r"[0-9]|[A-Z]{16}|(?i)%s[^\s=:]{0,40}\s?[=:]" % SECRET_NAMES)), text).otherwise(F.lit("")), SPACE), lambda w: w != "")
     placed = docs.select(F.col("doc_id").cast("long"), column_or_null(docs, "path", "string").alias("path"), words.alias("w"))
-    # Cheap test first: most words are short or have no digit, and no name of a secret in or before them.
-    def named(i: Column) -> Column:
-        before = F.get("w", i - 1)
-        return F.coalesce(F.rlike(before, F.lit(_NAMED + "+$")) | (F.rlike(before, F.lit("^[=:]+$")) & F.rlike(F.get("w", i - 2), F.lit("(?i)" + SECRET_NAMES))), F.lit(False))
-
+    # Cheap test first: most words are short, or have no digit and no name of a secret.
     plausible = F.filter(
-        F.transform("w", lambda w, i: F.when((F.length(w) >= LEAST) & (F.rlike(w, F.lit(PLAUSIBLE)) | named(i)), F.struct(i.alias("i"), w.alias("w")))), lambda s: s.isNotNull()
+        F.transform("w", lambda w, i: F.when((F.length(w) >= LEAST) & F.rlike(w, F.lit(PLAUSIBLE)), F.struct(i.alias("i"), w.alias("w")))), lambda s: s.isNotNull()
     )
     found = placed.where(F.size(plausible) > 0).select("doc_id", "path", "w", F.explode(plausible).alias("s"))
     shape = r"""^[\"'(\[{<`]*(?:([A-Za-z_][A-Za-z0-9_\-.]*)[=:]+[\"'`]?)?([A-Za-z0-9+/_\-.~]{%d,}=*)[\"')\]}>`,;:.!?]*$""" % LEAST
